@@ -29,6 +29,7 @@ from vigil.functions import risk as risk_f
 from vigil.functions import temporal as tmp_f
 from vigil.functions.clean import V_COLUMNS, is_card
 from vigil.operators.rank import exact_quantiles
+from vigil.session import apply_wide_plan_conf
 
 GROUPS = ("amount", "temporal", "customer", "behavioral", "velocity", "interaction", "risk")
 PROBS = [0.25, 0.5, 0.75, 0.9, 0.95]
@@ -260,6 +261,7 @@ class FittedFeatures:
     def transform(self, df: DataFrame, batch_col: str | None = None,
                   keep: tuple = ("row_id",)) -> DataFrame:
         """Feature table: ``keep`` columns (and the batch column) followed by the features."""
+        apply_wide_plan_conf(df.sparkSession)
         p, m = self.params, self.model
         g = set(m.groups)
         card = p["card"]

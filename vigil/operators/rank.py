@@ -181,10 +181,33 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             for i, c in enumerate(cols):
                 vals = r[f"_q{i}"]
                 out[g][c] = list(vals) if vals is not None and counts[g][i] else [None] * len(probs)
+        if not by:
+            _snap_to_data(df, cols, out[()])
         return out
     return _quantiles_distributed(df, cols, probs, by, counts, num_partitions)
 
 
+def _snap_to_data(df: DataFrame, cols, res: dict) -> None:
+    """``percentile`` interpolates as ``(h-p)*lo + (p-l)*hi``, which can miss a tied
+    value by one ulp; snap to the nearest data value when within rounding distance
+    (``lo + (hi-lo)*frac`` then returns that value exactly)."""
+    aggs, keys = [], []
+    for i, c in enumerate(cols):
+        for j, r in enumerate(res.get(c, [])):
+            if r is None:
+                continue
+            x = F.col(c).cast("double")
+            aggs.append(F.min_by(x, F.abs(x - F.lit(r))).alias(f"_s{i}_{j}"))
+            keys.append((c, j, f"_s{i}_{j}"))
+    if not aggs:
+        return
+    row = df.agg(*aggs).first()
+    for c, j, k in keys:
+        v, r = row[k], res[c][j]
+        if v is not None and abs(v - r) <= 1e-12 * max(1.0, abs(v)):
+            res[c][j] = v
+
+
 def _quantiles_distributed(df, cols, probs, by, counts, num_partitions):
     stacked = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)

@@ -29,6 +29,7 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.codegen.maxFields", "256")
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )
@@ -64,3 +65,19 @@ def checkpoint(df):
     """Reliable, eager checkpoint (never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Runtime SQL settings for the wide feature plans (about 100 derived columns):
+# constraint propagation enumerates implied predicates over every aliased
+# expression and exhausts the driver heap on such plans, and whole-stage codegen
+# switches off above ``maxFields`` output columns.
+WIDE_PLAN_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.codegen.maxFields": "256",
+}
+
+
+def apply_wide_plan_conf(spark: SparkSession) -> None:
+    for k, v in WIDE_PLAN_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
