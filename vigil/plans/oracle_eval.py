@@ -217,4 +217,4 @@ ORACLE["flagged_by_hour"] = B.with_(*CARD, """s AS (
 SELECT hour, count(*) AS n_rows, CAST(sum(predicted_fraud) AS BIGINT) AS n_flagged,
        round(sum(CASE WHEN predicted_fraud = 1 THEN amount ELSE 0.0 END), 6) AS flagged_amount,
        CAST(sum(predicted_fraud * is_fraudulent) AS BIGINT) AS n_caught
-FROM p GROUP BY hour"""
+FROM p GROUP BY hour""")
