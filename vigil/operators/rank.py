@@ -29,10 +29,34 @@ from vigil.session import checkpoint
 PID = "_pid"
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def _leaf_bytes(df: DataFrame) -> int | None:
+    """Bytes of the scanned inputs (file sizes of the plan's leaves). Catalyst's own
+    estimate for a join is the product of its sides, useless for sizing."""
+    try:
+        it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        total = 0
+        while it.hasNext():
+            total += int(str(it.next().stats().sizeInBytes()))
+        return total
+    except Exception:  # noqa: BLE001 - remote session or unavailable statistics
+        return None
+
+
 def _num_partitions(df: DataFrame, n: int | None) -> int:
+    """Range partitions: about 128 MB of input each, at least the default parallelism
+    and at most the session's ``spark.sql.shuffle.partitions`` (the cluster's scale knob)."""
     if n:
         return int(n)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    low = spark.sparkContext.defaultParallelism
+    high = max(low, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = _leaf_bytes(df)
+    if size is None:
+        return high
+    return int(max(low, min(math.ceil(size / TARGET_PARTITION_BYTES), high)))
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:

@@ -30,6 +30,7 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.codegen.maxFields", "256")
         .config("spark.sql.constraintPropagation.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )

@@ -41,7 +41,7 @@ def card(spark: SparkSession, sf_dir: str, with_user: bool = False) -> DataFrame
     return joined.select(*cols)
 
 
-def shop(spark: SparkSession, sf_dir: str, keep_keys: bool = True) -> DataFrame:
+def shop(spark: SparkSession, sf_dir: str, keep_keys: bool = True, with_customer: bool = False) -> DataFrame:
     """Raw shop table; ``keep_keys`` keeps the line-item keys used as tie-break."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -62,6 +62,8 @@ def shop(spark: SparkSession, sf_dir: str, keep_keys: bool = True) -> DataFrame:
     cols = []
     if keep_keys:
         cols += ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    if with_customer:
+        cols.append(F.col("o_custkey").alias("customer_id"))
     cols += [
         F.expr("timestampadd(HOUR, CAST(o_orderkey % 24 AS INT), o_orderdate)").alias("transaction_date"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("transaction_amount"),
