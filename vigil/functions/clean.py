@@ -42,13 +42,13 @@ def _caps(df: DataFrame, cols: list[str]) -> dict[str, float]:
     return {c: q.get((), {}).get(c, [None])[0] for c in cols}
 
 
-def clean(df: DataFrame) -> DataFrame:
+def clean(df: DataFrame, params: dict | None = None) -> DataFrame:
     """Clean a raw card or shop table."""
     df = normalise_names(df)
     if "class" in df.columns:
-        return _clean_card(df.withColumnRenamed("class", "is_fraudulent"))
+        return _clean_card(df.withColumnRenamed("class", "is_fraudulent"), params)
     if "v1" in df.columns and "is_fraudulent" in df.columns:
-        return _clean_card(df)
+        return _clean_card(df, params)
     return _clean_shop(df)
 
 
@@ -59,15 +59,26 @@ def card_date(time_col, max_time) -> "F.Column":
     return F.timestamp_add("MICROSECOND", micros, F.expr(f"TIMESTAMP_NTZ'{CARD_BASE_DATE}'"))
 
 
-def _clean_card(df: DataFrame) -> DataFrame:
+def card_clean_params(df: DataFrame) -> dict:
+    """Whole-table statistics of the card cleaning step (p99 cap, time maximum)."""
     out = {}
     if "amount" in df.columns:
-        cap = _caps(df, ["amount"])["amount"]
+        out["amount_cap"] = _caps(df, ["amount"])["amount"]
+    if "time" in df.columns:
+        out["max_time"] = df.agg(F.max("time")).first()[0]
+    return out
+
+
+def _clean_card(df: DataFrame, params: dict | None = None) -> DataFrame:
+    """B3, B4, B6, B9 for the card shape; ``params`` fixes the statistics (streams)."""
+    params = params if params is not None else card_clean_params(df)
+    out = {}
+    if "amount" in df.columns:
+        cap = params.get("amount_cap")
         a = F.abs(nan_to_null(F.col("amount").cast("double")))
         out["amount"] = clip_upper(a, cap) if cap is not None else a
     if "time" in df.columns:
-        max_time = df.agg(F.max("time")).first()[0]
-        out["transaction_date"] = card_date(F.col("time"), max_time)
+        out["transaction_date"] = card_date(F.col("time"), params.get("max_time"))
     df = df.withColumns(out)
     if "transaction_date" in out:
         df = df.withColumn("transaction_hour", F.hour("transaction_date"))

@@ -20,8 +20,9 @@ CARD_EPOCH = "2024-01-01 00:00:00"
 SHOP_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "quantity", "l_extendedprice"]
 
 
-def card(spark: SparkSession, sf_dir: str, with_user: bool = False) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
+def card(spark: SparkSession, sf_dir: str, with_user: bool = False, events: DataFrame | None = None) -> DataFrame:
+    """Card table; ``events`` may be a streaming DataFrame (stream-static join)."""
+    events = events if events is not None else read_table(spark, sf_dir, "events")
     # At most EMBED_KEYS rows survive this filter, so the join side is bounded.
     emb = read_table(spark, sf_dir, "embeddings").where(F.col("vec_id") < EMBED_KEYS)
     emb = emb.select(
