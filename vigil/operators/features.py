@@ -308,7 +308,7 @@ class FittedFeatures:
         if batch_col and batch_col not in keep_cols:
             keep_cols.append(batch_col)
         leftovers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
-                     and f.name not in keep_cols]
+                     and f.name not in keep_cols and f.name not in (BATCH, TARGET)]
         for c in leftovers:
             df = self._lookup(df, c, F.col(c), {"code": f"_c_{c}"})
             df = df.withColumn(c, self._code(f"_c_{c}", F.col(c))).drop(f"_c_{c}", f"_k_{c}")

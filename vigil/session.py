@@ -73,6 +73,9 @@ def checkpoint(df):
 # expression and exhausts the driver heap on such plans, and whole-stage codegen
 # switches off above ``maxFields`` output columns.
 WIDE_PLAN_CONF = {
+    # zone-free timestamps are converted through the session zone in a few
+    # expressions; UTC keeps wall-clock arithmetic free of DST shifts
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.codegen.maxFields": "256",
 }
