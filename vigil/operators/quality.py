@@ -20,6 +20,24 @@ def long_form(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ())
     ])).alias("kv")).select(*keys, "kv.feature", "kv.value")
 
 
+def wide_stats(df: DataFrame, features: Sequence[str], stats: dict, by: Sequence[str] = ()) -> DataFrame:
+    """Per-feature statistics in ONE aggregate over the wide rows, then unpivoted.
+
+    ``stats`` maps output name -> function(Column) -> aggregate Column. The long
+    form is built from the aggregated rows (one per group), never from the data.
+    """
+    aggs = []
+    for i, f in enumerate(features):
+        x = F.col(f).cast("double")
+        aggs += [fn(x).alias(f"_{i}_{j}") for j, fn in enumerate(stats.values())]
+    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    names = list(stats)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), *[F.col(f"_{i}_{j}").alias(n) for j, n in enumerate(names)])
+        for i, f in enumerate(features)])).alias("r")
+    return wide.select(*by, rows).select(*by, "r.*")
+
+
 def temporal_order(df: DataFrame, ts: str = "transaction_date", split: str = "split") -> DataFrame:
     """O1: every test time is after every train time."""
     a = df.agg(F.max(F.when(F.col(split) == "train", F.col(ts))).alias("max_train"),
@@ -46,9 +64,9 @@ def id_overlap(df: DataFrame, split: str = "split") -> DataFrame:
 
 def stability(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
     """Relative mean shift < 0.5 per feature (|test mean| < 1 when the train mean is 0)."""
-    lf = long_form(df, features, [split])
-    m = lf.groupBy("feature").agg(F.avg(F.when(F.col(split) == "train", F.col("value"))).alias("train_mean"),
-                                  F.avg(F.when(F.col(split) == "test", F.col("value"))).alias("test_mean"))
+    is_train, is_test = F.col(split) == "train", F.col(split) == "test"
+    m = wide_stats(df, features, {"train_mean": lambda x: F.avg(F.when(is_train, x)),
+                                  "test_mean": lambda x: F.avg(F.when(is_test, x))})
     ok = F.when(F.col("train_mean") == 0, F.abs(F.col("test_mean")) < 1).otherwise(
         F.abs(F.col("test_mean") - F.col("train_mean")) / F.abs(F.col("train_mean")) < STABILITY_SHIFT)
     return m.withColumn("stable", F.coalesce(ok, F.lit(False)))
@@ -56,9 +74,7 @@ def stability(df: DataFrame, features: Sequence[str], split: str = "split") -> D
 
 def spread(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
     """Per (feature, split): sample std, min, max - the basis of O11 and O12."""
-    lf = long_form(df, features, [split])
-    return lf.groupBy("feature", split).agg(F.stddev_samp("value").alias("std"), F.min("value").alias("min_value"),
-                                            F.max("value").alias("max_value"))
+    return wide_stats(df, features, {"std": F.stddev_samp, "min_value": F.min, "max_value": F.max}, by=[split])
 
 
 def near_constant(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:

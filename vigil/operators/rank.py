@@ -65,6 +65,11 @@ def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
 
 def prefix_sums(df: DataFrame, order: Sequence[str | Column], weights: dict[str, str | Column],
                 num_partitions: int | None = None) -> DataFrame:
+    return prefix_sums_with_totals(df, order, weights, num_partitions)[0]
+
+
+def prefix_sums_with_totals(df: DataFrame, order: Sequence[str | Column], weights: dict[str, str | Column],
+                            num_partitions: int | None = None) -> tuple[DataFrame, list[float]]:
     """Add ``<name>`` = exclusive prefix sum of each weight in the global order.
 
     ``weights`` maps output column name -> weight expression (numeric).
@@ -115,7 +120,7 @@ def prefix_sums(df: DataFrame, order: Sequence[str | Column], weights: dict[str,
     # One row per range partition: bounded by n_parts, never by the data.
     joined = local.join(F.broadcast(offsets), PID, "left")
     res = joined.withColumns({w: F.col(off_names[i]) + F.col(local_names[w]) for i, w in enumerate(wnames)})
-    return res.drop(PID, *off_names, *lcols, *wcols)
+    return res.drop(PID, *off_names, *lcols, *wcols), run
 
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "rank",
@@ -125,6 +130,18 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "rank"
     return res.withColumn(name, F.col(name).cast("long"))
 
 
+def rows_at_cuts(df: DataFrame, order: Sequence[str], cuts, key_cols: Sequence[str],
+                 num_partitions: int | None = None) -> tuple[int, dict[int, tuple]]:
+    """Rank once; ``cuts(n)`` turns the row count into positions; return (n, keys at them)."""
+    ranked, totals = prefix_sums_with_totals(df.select(*key_cols), order, {"_pos": F.lit(1.0)}, num_partitions)
+    n = int(totals[0])
+    wanted = sorted({int(p) for p in cuts(n) if 0 <= p < n})
+    if not wanted:
+        return n, {}
+    hit = ranked.where(F.col("_pos").isin([float(w) for w in wanted])).collect()  # len(wanted) rows
+    return n, {int(r["_pos"]): tuple(r[k] for k in key_cols) for r in hit}
+
+
 def rows_at(df: DataFrame, order: Sequence[str], positions: Sequence[int], key_cols: Sequence[str],
             num_partitions: int | None = None) -> dict[int, tuple]:
     """Key values of the rows at the given 0-based positions (order must be unique)."""
@@ -162,6 +179,7 @@ def before_key(cols: Sequence[str], key: tuple | None) -> Column:
 # ---------------------------------------------------------------------------
 
 EXACT_BUFFER_LIMIT = 1_000_000  # distinct values one aggregate buffer may hold
+SMALL_INPUT_BYTES = 256 * 1024 * 1024  # inputs this small bound the buffer by themselves
 MAX_GROUPS = 100_000
 
 
@@ -186,6 +204,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     by = list(by)
     cols = list(cols)
     probs = [float(p) for p in probs]
+    small = _leaf_bytes(df)
+    if method == "auto" and small is not None and small <= SMALL_INPUT_BYTES:
+        # The scanned input bounds the distinct values of any column: skip the pre-pass.
+        return _quantiles_agg(df, cols, probs, by)
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"_n{i}"), F.approx_count_distinct(c).alias(f"_d{i}")]
@@ -195,22 +217,28 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     counts = {tuple(r[b] for b in by): [r[f"_n{i}"] for i in range(len(cols))] for r in stats}
     max_distinct = max([r[f"_d{i}"] for r in stats for i in range(len(cols))] or [0])
     use_agg = method == "agg" or (method == "auto" and max_distinct <= EXACT_BUFFER_LIMIT)
-    out: dict = {g: {} for g in counts}
     if use_agg:
-        parr = F.array(*[F.lit(p) for p in probs])
-        qaggs = [F.percentile(F.col(c).cast("double"), parr).alias(f"_q{i}") for i, c in enumerate(cols)]
-        res = (df.groupBy(*by).agg(*qaggs) if by else df.agg(*qaggs)).collect()
-        for r in res:
-            g = tuple(r[b] for b in by)
-            for i, c in enumerate(cols):
-                vals = r[f"_q{i}"]
-                out[g][c] = list(vals) if vals is not None and counts[g][i] else [None] * len(probs)
-        if not by:
-            _snap_to_data(df, cols, out[()])
-        return out
+        return _quantiles_agg(df, cols, probs, by)
     return _quantiles_distributed(df, cols, probs, by, counts, num_partitions)
 
 
+def _quantiles_agg(df: DataFrame, cols, probs, by) -> dict:
+    parr = F.array(*[F.lit(p) for p in probs])
+    qaggs = [F.percentile(F.col(c).cast("double"), parr).alias(f"_q{i}") for i, c in enumerate(cols)]
+    res = (df.groupBy(*by).agg(*qaggs) if by else df.agg(*qaggs)).limit(MAX_GROUPS + 1).collect()
+    if len(res) > MAX_GROUPS:
+        raise ValueError("too many groups for a quantile parameter table")
+    out: dict = {}
+    for r in res:
+        g = tuple(r[b] for b in by)
+        out[g] = {c: (list(r[f"_q{i}"]) if r[f"_q{i}"] is not None else [None] * len(probs))
+                  for i, c in enumerate(cols)}
+    if not by:
+        out.setdefault((), {c: [None] * len(probs) for c in cols})
+        _snap_to_data(df, cols, out[()])
+    return out
+
+
 def _snap_to_data(df: DataFrame, cols, res: dict) -> None:
     """``percentile`` interpolates as ``(h-p)*lo + (p-l)*hi``, which can miss a tied
     value by one ulp; snap to the nearest data value when within rounding distance

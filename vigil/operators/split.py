@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.rank import before_key, global_rank, rows_at
+from vigil.operators.rank import before_key, global_rank, rows_at, rows_at_cuts
 
 TIME_ORDER = ("transaction_date", "row_id")
 
@@ -32,9 +32,8 @@ def split_column(df: DataFrame, ratios: Sequence[float], labels: Sequence[str],
     """Label each row by its position in ``order`` (unique): first ``int(r0*n)`` rows get
     ``labels[0]``, the next ``int(r1*n)`` ``labels[1]``, ..., the rest ``labels[-1]``."""
     order = list(order)
-    n = df.count()
+    n, keys = rows_at_cuts(df, order, lambda n: cut_sizes(n, ratios), order)
     cuts = cut_sizes(n, ratios)
-    keys = rows_at(df, order, [c for c in cuts if c < n], order)
     expr = None
     for cut, label in zip(cuts, labels):
         cond = before_key(order, keys.get(cut)) if cut < n else F.lit(True)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -229,19 +230,19 @@ def _standardized(spark, sf):
 
 
 def q_standardize(spark, sf):
+    from vigil.operators.quality import wide_stats
     scaler, ft, feats = _standardized(spark, sf)
     z = scaler.transform(ft.where(F.col("split") == "test"), keep=("row_id",))
-    lf = z.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"))
-                                      for c in feats])).alias("kv")).select("kv.feature", "kv.value")
-    return lf.groupBy("feature").agg(
-        F.sum(F.round("value", 6).cast("decimal(38,6)")).cast("double").alias("total"),
-        F.round(F.min("value"), 6).alias("min_value"), F.round(F.max("value"), 6).alias("max_value"))
+    return wide_stats(z, feats, {
+        "total": lambda x: F.sum(F.round(x, 6).cast("decimal(38,6)")).cast("double"),
+        "min_value": lambda x: F.round(F.min(x), 6), "max_value": lambda x: F.round(F.max(x), 6)})
 
 
 def linear_model(spark, sf, latent_dim=16, percentile=95):
     """2-way flow: standardise on all train rows, fit on normal train rows, threshold on their scores."""
     scaler, ft, feats = _standardized(spark, sf)
-    z = scaler.transform(ft, keep=KEYS)
+    # reused by the mean, covariance, threshold and scoring passes
+    z = scaler.transform(ft, keep=KEYS).persist(StorageLevel.MEMORY_AND_DISK)
     fit_rows = z.where((F.col("split") == "train") & (F.col("is_fraudulent") == 0))
     model = fit_linear(fit_rows, feats, latent_dim)
     fit_threshold(model, model.score(fit_rows), percentile)

@@ -184,15 +184,16 @@ def q_location_frequency(spark, sf):
 
 
 def _checksums(ft, keys=("row_id", "split", "is_fraudulent")):
+    """Per (feature, split): exact total, non-zero count, min, max - one wide aggregate."""
+    from vigil.operators.quality import wide_stats
     feats = [c for c in ft.columns if c not in keys]
-    long = ft.select("split", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in feats
-    ])).alias("kv")).select("split", "kv.feature", "kv.value")
-    return long.groupBy("feature", "split").agg(
+    out = wide_stats(ft, feats, {
         # exact, order-independent: decimal sum of values rounded to 6 places
-        F.sum(F.round("value", 6).cast("decimal(38,6)")).cast("double").alias("total"),
-        F.sum((F.col("value") != 0).cast("long")).alias("n_nonzero"),
-        F.round(F.min("value"), 6).alias("min_value"), F.round(F.max("value"), 6).alias("max_value"))
+        "total": lambda x: F.sum(F.round(x, 6).cast("decimal(38,6)")).cast("double"),
+        "n_nonzero": lambda x: F.sum((x != 0).cast("long")),
+        "min_value": lambda x: F.round(F.min(x), 6),
+        "max_value": lambda x: F.round(F.max(x), 6)}, by=["split"])
+    return out
 
 
 def q_feature_table_card(spark, sf):
