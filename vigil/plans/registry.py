@@ -25,7 +25,7 @@ def all_oracles() -> dict:
 
 def _extra_query_modules():
     mods = []
-    for name in ("queries_windows", "queries_stream"):
+    for name in ("queries_windows", "queries_stream", "queries_jobs"):
         try:
             mods.append(__import__(f"vigil.plans.{name}", fromlist=["QUERIES"]))
         except ImportError:
