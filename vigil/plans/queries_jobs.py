@@ -94,3 +94,36 @@ def q_model_size(spark, sf):
 
 QUERIES = {"sample_exact": q_sample_exact, "random_split": q_random_split, "batch_predict": q_batch_predict,
            "run_records": q_run_records, "ranked_records": q_ranked_records, "model_size": q_model_size}
+
+
+def mlp_model(spark, sf, epochs: int = 8, percentile: float = 95):
+    """2-way flow: standardise on train, fit on normal train rows with the tail 20 % of them as
+    validation (C4), threshold at the percentile of the fit rows' scores."""
+    from pyspark import StorageLevel
+
+    from vigil.operators.mlp_ae import fit_mlp
+    from vigil.operators.split import tail_rows
+    from vigil.plans.queries_eval import KEYS, _standardized
+    scaler, ft, feats = _standardized(spark, sf)
+    z = scaler.transform(ft, keep=KEYS).persist(StorageLevel.MEMORY_AND_DISK)
+    normal = z.where((F.col("split") == "train") & (F.col("is_fraudulent") == 0))
+    fit_rows = tail_rows(normal, 0.2, order=("row_id",), name="is_val")
+    model = fit_mlp(fit_rows, feats, val_col="is_val", epochs=epochs)
+    fit_scores = model.score(fit_rows.where(F.col("is_val") == 0))
+    model.threshold = E.threshold_at(fit_scores, "anomaly_score", percentile)
+    return model, z
+
+
+def q_mlp_scores(spark, sf):
+    model, z = mlp_model(spark, sf)
+    s = model.score(z.where(F.col("split") == "test"), keep=("row_id", "is_fraudulent"))
+    return rounded(E.predict(s, "anomaly_score", model.threshold))
+
+
+def q_mlp_auc(spark, sf):
+    model, z = mlp_model(spark, sf)
+    s = model.score(z.where(F.col("split") == "test"), keep=("row_id", "is_fraudulent"))
+    return rounded(E.roc_auc(s, "anomaly_score", "is_fraudulent"))
+
+
+QUERIES.update({"mlp_scores": q_mlp_scores, "mlp_auc": q_mlp_auc})
