@@ -60,11 +60,16 @@ def card_date(time_col, max_time) -> "F.Column":
 
 
 def card_clean_params(df: DataFrame) -> dict:
-    """Whole-table statistics of the card cleaning step (p99 cap, time maximum)."""
+    """Whole-table statistics of the card cleaning step (p99 cap, time maximum), one pass."""
     out = {}
+    extra = {"max_time": F.max("time")} if "time" in df.columns else {}
     if "amount" in df.columns:
-        out["amount_cap"] = _caps(df, ["amount"])["amount"]
-    if "time" in df.columns:
+        src = df.select(F.abs(nan_to_null(F.col("amount").cast("double"))).alias("amount"),
+                        *([F.col("time")] if extra else []))
+        q = exact_quantiles(src, ["amount"], [CAP_QUANTILE], extra=extra)[()]
+        out["amount_cap"] = q["amount"][0]
+        out.update(q.get("extra", {}))
+    elif extra:
         out["max_time"] = df.agg(F.max("time")).first()[0]
     return out
 

@@ -62,7 +62,12 @@ class FeatureModel:
         _check_groups(self, card, train.columns)
         params: dict = {"card": card, "amount_col": amt}
         qcols = [c for c in (amt, "quantity") if c in train.columns and (c == amt or not card)]
-        q = exact_quantiles(train, qcols, PROBS)[()]
+        extra = {}
+        if "transaction_date" in train.columns:
+            h = F.hour("transaction_date")
+            extra = {"hour_mean": F.avg(h), "hour_std": F.stddev_samp(h), "day_weekend_ratio": F.avg(flag_weekend())}
+        q = exact_quantiles(train, qcols, PROBS, extra=extra)[()]
+        params.update(q.get("extra", {}))
         for c, prefix in ((amt, "amount"), ("quantity", "quantity")):
             if c not in q:
                 continue
@@ -73,11 +78,6 @@ class FeatureModel:
             spread = (vals[0.75] - vals[0.25]) if vals[0.75] is not None else 0.0
             params[f"{prefix}_center"] = vals[0.5]
             params[f"{prefix}_scale"] = spread if spread else 1.0
-        if "transaction_date" in train.columns:
-            h = F.hour("transaction_date")
-            r = train.agg(F.avg(h).alias("m"), F.stddev_samp(h).alias("s"),
-                          F.avg(flag_weekend()).alias("w")).first()
-            params.update(hour_mean=r["m"], hour_std=r["s"], day_weekend_ratio=r["w"])
         encodings = _fit_encodings(train, card, self.groups)
         fitted = FittedFeatures(self, params, encodings)
         if self.batch_stats == "fitted" and card:
@@ -152,17 +152,16 @@ ENC_SCHEMA = T.StructType([
 def _batch_stats(df: DataFrame, vs_all, cols) -> dict:
     """Per-batch mean / sample std of each v and the batch q95 of the v mean / std."""
     vs = [v for v in vs_all if v in cols]
-    aggs = []
+    extra = {}
     for v in vs:
-        aggs += [F.avg(v).alias(f"mean_{v}"), F.stddev_samp(v).alias(f"std_{v}")]
-    rows = df.groupBy(BATCH).agg(*aggs).collect()
-    q = exact_quantiles(df, ["v_features_mean", "v_features_std"], [0.95], by=[BATCH])
+        extra[f"mean_{v}"] = F.avg(v)
+        extra[f"std_{v}"] = F.stddev_samp(v)
+    q = exact_quantiles(df, ["v_features_mean", "v_features_std"], [0.95], by=[BATCH], extra=extra)
     out = {}
-    for r in rows:
-        b = r[BATCH]
-        d = {k: r[k] for k in r.asDict() if k != BATCH}
-        d["q95_v_mean"] = q.get((b,), {}).get("v_features_mean", [None])[0]
-        d["q95_v_std"] = q.get((b,), {}).get("v_features_std", [None])[0]
+    for (b,), res in q.items():
+        d = dict(res.get("extra", {}))
+        d["q95_v_mean"] = res.get("v_features_mean", [None])[0]
+        d["q95_v_std"] = res.get("v_features_std", [None])[0]
         out[b] = d
     return out
 

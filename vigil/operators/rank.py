@@ -189,11 +189,12 @@ def _interp(lo: float, hi: float, frac: float) -> float:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), method: str = "auto",
-                    num_partitions: int | None = None) -> dict:
+                    num_partitions: int | None = None, extra: dict | None = None) -> dict:
     """Exact linear-interpolated quantiles (numpy ``percentile`` / SQL ``quantile_cont``).
 
     Returns ``{group_tuple: {col: [q for q in probs]}}`` (``()`` when ungrouped);
-    nulls are ignored, an all-null column yields ``None``.
+    nulls are ignored, an all-null column yields ``None``. ``extra`` (name -> aggregate
+    Column) is evaluated in the same pass; its values appear under the key ``"extra"``.
 
     ``method="auto"`` measures the distinct count first: below
     ``EXACT_BUFFER_LIMIT`` a single ``percentile`` aggregate is used (its
@@ -205,10 +206,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cols = list(cols)
     probs = [float(p) for p in probs]
     small = _leaf_bytes(df)
+    extra = dict(extra or {})
     if method == "auto" and small is not None and small <= SMALL_INPUT_BYTES:
         # The scanned input bounds the distinct values of any column: skip the pre-pass.
-        return _quantiles_agg(df, cols, probs, by)
-    aggs = []
+        return _quantiles_agg(df, cols, probs, by, extra)
+    aggs = [e.alias(f"_x_{k}") for k, e in extra.items()]
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"_n{i}"), F.approx_count_distinct(c).alias(f"_d{i}")]
     stats = (df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)).limit(MAX_GROUPS + 1).collect()
@@ -216,15 +218,22 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         raise ValueError("too many groups for a quantile parameter table")
     counts = {tuple(r[b] for b in by): [r[f"_n{i}"] for i in range(len(cols))] for r in stats}
     max_distinct = max([r[f"_d{i}"] for r in stats for i in range(len(cols))] or [0])
+    extras = {tuple(r[b] for b in by): {k: r[f"_x_{k}"] for k in extra} for r in stats}
     use_agg = method == "agg" or (method == "auto" and max_distinct <= EXACT_BUFFER_LIMIT)
     if use_agg:
-        return _quantiles_agg(df, cols, probs, by)
-    return _quantiles_distributed(df, cols, probs, by, counts, num_partitions)
+        out = _quantiles_agg(df, cols, probs, by, {})
+    else:
+        out = _quantiles_distributed(df, cols, probs, by, counts, num_partitions)
+    for g, vals in extras.items():
+        out.setdefault(g, {})["extra"] = vals
+    return out
 
 
-def _quantiles_agg(df: DataFrame, cols, probs, by) -> dict:
+def _quantiles_agg(df: DataFrame, cols, probs, by, extra: dict | None = None) -> dict:
+    extra = extra or {}
     parr = F.array(*[F.lit(p) for p in probs])
     qaggs = [F.percentile(F.col(c).cast("double"), parr).alias(f"_q{i}") for i, c in enumerate(cols)]
+    qaggs += [e.alias(f"_x_{k}") for k, e in extra.items()]
     res = (df.groupBy(*by).agg(*qaggs) if by else df.agg(*qaggs)).limit(MAX_GROUPS + 1).collect()
     if len(res) > MAX_GROUPS:
         raise ValueError("too many groups for a quantile parameter table")
@@ -233,6 +242,8 @@ def _quantiles_agg(df: DataFrame, cols, probs, by) -> dict:
         g = tuple(r[b] for b in by)
         out[g] = {c: (list(r[f"_q{i}"]) if r[f"_q{i}"] is not None else [None] * len(probs))
                   for i, c in enumerate(cols)}
+        if extra:
+            out[g]["extra"] = {k: r[f"_x_{k}"] for k in extra}
     if not by:
         out.setdefault((), {c: [None] * len(probs) for c in cols})
         _snap_to_data(df, cols, out[()])

@@ -112,3 +112,10 @@ SELECT category AS customer_location, freq, round(share, 6) AS share FROM enc_lo
     "feature_table_card": _checksums(CARD, "card_f"),
     "feature_table_shop": _checksums(SHOP, "shop_f"),
 }
+
+ORACLE.update({
+    "feature_rows_card": B.with_(*CARD, final="""
+SELECT row_id, split, round(COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)), 6) FROM card_f"""),
+    "feature_rows_shop": B.with_(*SHOP, final="""
+SELECT row_id, split, round(COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)), 6) FROM shop_f"""),
+})

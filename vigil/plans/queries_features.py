@@ -217,3 +217,16 @@ QUERIES = {
     "risk_flags_card": q_risk_flags_card, "risk_flags_shop": q_risk_flags_shop, "risk_bands": q_risk_bands,
     "feature_table_card": q_feature_table_card, "feature_table_shop": q_feature_table_shop,
 }
+
+
+def q_feature_rows_card(spark, sf):
+    """The full 96-feature card table (every split, per-split batch statistics)."""
+    return rounded(_card_ft(spark, sf).drop("is_fraudulent"))
+
+
+def q_feature_rows_shop(spark, sf):
+    """The full 109-feature shop table."""
+    return rounded(_shop_ft(spark, sf).drop("is_fraudulent"))
+
+
+QUERIES.update({"feature_rows_card": q_feature_rows_card, "feature_rows_shop": q_feature_rows_shop})
