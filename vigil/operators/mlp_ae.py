@@ -111,8 +111,12 @@ class MLPAutoencoder:
 
 def fit_mlp(df: DataFrame, features: Sequence[str], val_col: str | None = None, hidden=HIDDEN,
             latent: int = LATENT, epochs: int = 10, lr: float = 1e-3, batch: int = 128, patience: int = 4,
-            min_lr: float = 1e-7, seed: int = 42) -> MLPAutoencoder:
-    """Fit on rows with ``val_col`` = 0 (all rows if None); validate on ``val_col`` = 1."""
+            min_lr: float = 1e-7, seed: int = 42, val_label: str | None = None) -> MLPAutoencoder:
+    """Fit on rows with ``val_col`` = 0 (all rows if None); validate on ``val_col`` = 1.
+
+    ``val_label`` (L6): after every epoch the validation rows are scored and their exact
+    ROC AUC recorded; the weights with the best validation AUC are kept (null AUC - one
+    class only - never counts as best)."""
     feats = list(features)
     sizes = layer_sizes(len(feats), hidden, latent)
     w = init_weights(sizes, seed)
@@ -121,6 +125,7 @@ def fit_mlp(df: DataFrame, features: Sequence[str], val_col: str | None = None,
     src = df.select(vflag, *cols)
     out_schema = "n double, val_n double, val_loss double, w array<double>"
     best = (np.inf, w.copy())
+    best_auc = None
     wait = 0
     history = []
     for epoch in range(epochs):
@@ -163,6 +168,14 @@ def fit_mlp(df: DataFrame, features: Sequence[str], val_col: str | None = None,
                 w = np.array([r["s"] / total for r in avg])
         vloss = stats["vl"] / stats["vn"] if stats["vn"] else None
         history.append({"epoch": epoch, "val_loss_of_incoming": vloss, "lr": step})
+        if val_label and val_col:
+            from vigil.operators.evaluate import roc_auc
+            probe = MLPAutoencoder(feats, sizes, w)
+            vrows = df.where(F.col(val_col) == 1)
+            auc = roc_auc(probe.score(vrows, keep=(val_label,)), "anomaly_score", val_label).first()["roc_auc"]
+            history[-1]["val_auc"] = auc
+            if auc is not None and (best_auc is None or auc > best_auc[0]):
+                best_auc = (auc, w.copy())
         if vloss is not None:
             if vloss < best[0]:
                 best, wait = (vloss, cur.copy()), 0
@@ -173,6 +186,8 @@ def fit_mlp(df: DataFrame, features: Sequence[str], val_col: str | None = None,
                 if wait >= patience:
                     w = best[1]
                     break
+    if best_auc is not None:
+        return MLPAutoencoder(feats, sizes, best_auc[1], history)
     if val_col and np.isfinite(best[0]):
         w = best[1] if history and history[-1]["val_loss_of_incoming"] is not None \
             and history[-1]["val_loss_of_incoming"] > best[0] else w

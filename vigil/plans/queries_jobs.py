@@ -127,3 +127,27 @@ def q_mlp_auc(spark, sf):
 
 
 QUERIES.update({"mlp_scores": q_mlp_scores, "mlp_auc": q_mlp_auc})
+
+
+def q_mlp_3way_auc(spark, sf, epochs: int = 6):
+    """3-way flow (L4 variant + L6): standardise and fit on ALL train rows (fraud included), keep the
+    epoch with the best validation AUC on the ``val`` split, report the test AUC."""
+    from pyspark import StorageLevel
+
+    from vigil.operators.mlp_ae import fit_mlp
+    from vigil.operators.scale import fit_scaler
+    from vigil.plans.queries_eval import KEYS
+    ft = P.card_features(spark, sf, "80_10_10")[1]
+    feats = [c for c in ft.columns if c not in KEYS]
+    scaler = fit_scaler(ft.where(F.col("split") == "train"), feats)
+    z = scaler.transform(ft, keep=KEYS).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_rows = z.where(F.col("split") != "test").withColumn("is_val", (F.col("split") == "val").cast("int"))
+    model = fit_mlp(fit_rows, feats, val_col="is_val", val_label="is_fraudulent", epochs=epochs)
+    test = model.score(z.where(F.col("split") == "test"), keep=("row_id", "is_fraudulent"))
+    auc = E.roc_auc(test, "anomaly_score", "is_fraudulent")
+    val_aucs = [h.get("val_auc") for h in model.history if h.get("val_auc") is not None]
+    return rounded(auc.withColumns({"best_val_auc": F.lit(max(val_aucs) if val_aucs else None).cast("double"),
+                                    "epochs_run": F.lit(len(model.history))}))
+
+
+QUERIES["mlp_3way_auc"] = q_mlp_3way_auc
