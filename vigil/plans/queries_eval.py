@@ -60,8 +60,8 @@ def q_roc_auc(spark, sf):
     return rounded(E.roc_auc(scored(spark, sf), "anomaly_score", "is_fraudulent"))
 
 
-def _pred(spark, sf, pct=95):
-    s = scored(spark, sf)
+def _pred(spark, sf, pct=95, s=None):
+    s = s if s is not None else scored(spark, sf)
     thr = E.threshold_at(s, "anomaly_score", pct)
     return E.predict(s, "anomaly_score", thr), thr
 
@@ -133,7 +133,7 @@ def q_alerts_fixed_threshold(spark, sf):
 
 def q_metric_report(spark, sf):
     s = scored(spark, sf)
-    p, thr = _pred(spark, sf)
+    p, thr = _pred(spark, sf, s=s)
     conf = E.with_rates(E.confusion_counts(p, "predicted_fraud", "is_fraudulent"))
     auc = E.roc_auc(s, "anomaly_score", "is_fraudulent").first()["roc_auc"]
     return rounded(conf.withColumns({"roc_auc": F.lit(auc).cast("double"), "threshold": F.lit(thr)}))
