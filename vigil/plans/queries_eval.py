@@ -222,8 +222,11 @@ def q_check_round_trip(spark, sf):
 
 # -- model -----------------------------------------------------------------
 
-def _standardized(spark, sf):
+def _standardized(spark, sf, reuse: bool = False):
     ft = P.card_features(spark, sf)[1]
+    if reuse:
+        # read by the scaler fit and again by the standardized table
+        ft = ft.persist(StorageLevel.MEMORY_AND_DISK)
     feats = _features(ft)
     scaler = fit_scaler(ft.where(F.col("split") == "train"), feats)
     return scaler, ft, feats
@@ -240,7 +243,7 @@ def q_standardize(spark, sf):
 
 def linear_model(spark, sf, latent_dim=16, percentile=95):
     """2-way flow: standardise on all train rows, fit on normal train rows, threshold on their scores."""
-    scaler, ft, feats = _standardized(spark, sf)
+    scaler, ft, feats = _standardized(spark, sf, reuse=True)
     # reused by the mean, covariance, threshold and scoring passes
     z = scaler.transform(ft, keep=KEYS).persist(StorageLevel.MEMORY_AND_DISK)
     fit_rows = z.where((F.col("split") == "train") & (F.col("is_fraudulent") == 0))
