@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from vigil.llm import mixing, quality, substring_dedup, url_filter
+from vigil.llm import mixing, near_dedup, quality, substring_dedup, url_filter
 
 QUERIES = {
+    "op3_near_dedup": near_dedup.query,
     "op5_mixing": mixing.query,
     "op8_quality_rules": quality.query,
     "op9_url_filter": url_filter.query,
     "op10_substring_dedup": substring_dedup.query,
 }
 ORACLE = {
+    "op3_near_dedup": near_dedup.ORACLE,
     "op8_quality_rules": quality.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
