@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from vigil.llm import mixing, near_dedup, quality, substring_dedup, url_filter
+from vigil.llm import decontaminate, mixing, near_dedup, quality, substring_dedup, token_files, url_filter
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.query,
     "op3_near_dedup": near_dedup.query,
     "op5_mixing": mixing.query,
+    "op6_token_files": token_files.query,
     "op8_quality_rules": quality.query,
     "op9_url_filter": url_filter.query,
     "op10_substring_dedup": substring_dedup.query,
