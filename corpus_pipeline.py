@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from vigil.llm import mixing, quality
+from vigil.llm import decontaminate, mixing, near_dedup, quality, token_files
 from vigil.llm.text import written
 
 
@@ -13,14 +14,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs).where("kept").select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near duplicates (one row of repeated rows)."""
+    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    # joined first, so that the window finds the rows dealt by doc_id already
+    one = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    one = one.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source"))).where("_row = 1")
+    return one.select(docs.columns).union(docs.where("doc_id is null"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.copies(docs).select(docs.columns)
 
 
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the token files hold them: doc_id, start, n_tokens, ids_crc32."""
+    return token_files.tokens(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("benchmark decontamination", decontaminated),
     ("source mixing", mix_sources),
+    ("token output", token_output),
 ]
 #: several stages (sketches, tokenizer, permutations) have no SQL form; tests compare run() with a brute-force version
 ORACLE_SQL = None

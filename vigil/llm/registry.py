@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontaminate, mixing, near_dedup, quality, substring_dedup, token_files, url_filter
+from vigil.llm import decontaminate, html_text, mixing, near_dedup, personal_data, quality, substring_dedup, token_files, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op2_toxicity": toxicity.query,
     "op3_near_dedup": near_dedup.query,
+    "op4_html_text": html_text.query,
     "op5_mixing": mixing.query,
     "op6_token_files": token_files.query,
+    "op7_personal_data": personal_data.query,
     "op8_quality_rules": quality.query,
     "op9_url_filter": url_filter.query,
     "op10_substring_dedup": substring_dedup.query,
