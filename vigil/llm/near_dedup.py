@@ -10,10 +10,13 @@ chance under 1e-10.
 Documents with equal sets are one class first; only classes meet in bands. In a
 band's group, members are not paired with each other: a hub (the member that
 shares most bands with others) is compared with every member, groups whose
-members still lie in different components take another hub, and after
-``HUB_ROUNDS`` the few pairs that are still open are compared directly, so that
-no link between components is lost and a group of copies costs its size per
-round, not its square. Compared pairs pass the estimate from registers (less
+members still lie in different components take another hub. What is open after
+``HUB_ROUNDS`` is compared whole: members of groups up to ``SMALL`` pair by
+pair; larger groups in cells of two blocks of ``BLOCK`` members, where one
+matrix product gives all intersections and only links between different
+components leave the task. So no link between components is lost, and no row is
+made per pair of a group. (Cells use ``CELL_BANDS`` of the bands: a linked pair
+meets in none of them with a chance under 1e-5.) Compared pairs pass the estimate from registers (less
 the matches by chance) with a margin of several standard errors, then the exact
 sizes of intersection and union of the full sets. Components are the smallest
 doc_id reachable, by label propagation with pointer jumping.
@@ -29,6 +32,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +46,8 @@ BUCKETS, ROWS = 128, 4
 MANTISSA = 10
 MARGIN = 0.16          # five standard errors of an estimate from 128 registers at J = 0.85
 HUB_ROUNDS = 3
+SMALL, BLOCK, CELL_BANDS = 16, 512, 16
+COLUMNS = 4096         # of the matrix product at once
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -94,7 +100,8 @@ def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if batch.num_rows:
             regs = np.frombuffer(b"".join(batch["registers"].to_pylist()), dtype=np.uint16).reshape(-1, bands, ROWS)
             key = mix(np.ascontiguousarray(regs).view(np.uint64)[:, :, 0] + np.uint64(1))
-            key = mix(key + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            number = np.arange(bands, dtype=np.uint64)  # stays readable in the key's low bits
+            key = mix(key + number * np.uint64(0x9E3779B97F4A7C15)) & ~np.uint64(bands - 1) | number
             row, band = np.nonzero((regs > 0).any(axis=2))  # a band without any shingle says nothing
             yield pa.RecordBatch.from_arrays([pa.array(key[row, band].view(np.int64)), batch["node"].take(pa.array(row))], ["band", "node"])
 
@@ -126,6 +133,43 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
+def _cell_links(cell: pd.DataFrame) -> pd.DataFrame:
+    """Links between different components among the members of one cell, enough to connect them."""
+    cell = cell.drop_duplicates("node")
+    nodes, labels = cell["node"].to_numpy(), cell["label"].to_numpy()
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in cell["shingles"]]
+    sizes = np.array([len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    both = np.full((len(sets), len(sets)), float((times == len(sets)).sum()), dtype=np.float64)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    useful = (times > 1) & (times < len(sets))  # the others are in one set, or in all
+    number = np.cumsum(useful) - 1
+    row, column = row[useful[column]], number[column[useful[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for lo in range(0, int(useful.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (lo, lo + COLUMNS))
+        part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        both += part @ part.T
+    linked = (100 * both >= PERCENT * (sizes[:, None] + sizes[None, :] - both)) & (labels[:, None] != labels[None, :])
+    root = {x: x for x in labels.tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(linked))):
+        x, y = find(int(labels[i])), find(int(labels[j]))
+        if x != y:
+            root[x] = y
+            out.append((nodes[i], nodes[j]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of ``links`` (a, b) reaches."""
     both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
@@ -149,6 +193,10 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     groups = written(groups.join(score, F.col("node") == F.col("s")).select("band", "node", "score"), "band-groups")
     regs = reps.select("node", "n_shingles", "registers")
 
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        wanted = nodes.select(F.col("node").alias("need")).distinct()
+        return written(docs.join(wanted, F.col("doc_id") == F.col("need"), "left_semi").mapInArrow(_set_batches, "node long, shingles binary"), "sets")
+
     def verified(pairs: DataFrame) -> DataFrame:
         a = regs.select(F.col("node").alias("na"), F.col("n_shingles").alias("ca"), F.col("registers").alias("ra"))
         b = regs.select(F.col("node").alias("nb"), F.col("n_shingles").alias("cb"), F.col("registers").alias("rb"))
@@ -156,14 +204,21 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
                 .where((100 * F.col("ca") >= PERCENT * F.col("cb")) & (100 * F.col("cb") >= PERCENT * F.col("ca")))
                 .select("a", "b", "ra", "rb").mapInArrow(_likely_batches, "a long, b long"))
         near = written(near, "likely-pairs")
-        needed = near.select(F.col("a").alias("need")).union(near.select("b")).distinct()
-        sets = written(docs.join(needed, F.col("doc_id") == F.col("need"), "left_semi").mapInArrow(_set_batches, "node long, shingles binary"), "sets")
+        sets = sets_of(near.select(F.col("a").alias("node")).union(near.select("b")))
         sa = sets.select(F.col("node").alias("na"), F.col("shingles").alias("sa"))
         sb = sets.select(F.col("node").alias("nb"), F.col("shingles").alias("sb"))
-        # hubs stand in a: their sets travel once per task after the members' sets have met the pairs
         return (near.join(sb, F.col("b") == F.col("nb")).join(sa, F.col("a") == F.col("na")).select("a", "b", "sa", "sb")
                 .mapInArrow(_linked_batches, "a long, b long").distinct())
 
+    def cells(members: DataFrame) -> DataFrame:
+        """Links inside the groups ``members`` (band, node, label, blocks), each dealt over its pairs of blocks."""
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+        rows = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", other)
+        rows = rows.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "label")
+        sets = sets_of(members).select(F.col("node").alias("ns"), "shingles")
+        return (rows.join(sets, F.col("node") == F.col("ns")).groupBy("band", "lo", "hi")
+                .applyInPandas(lambda cell: _cell_links(cell), "a long, b long").distinct())
+
     spark = docs.sparkSession
     found = spark.createDataFrame([], "a long, b long")
     tested = found
@@ -177,21 +232,25 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
         open_ = written(open_.join(several, F.col("band") == F.col("key")).drop("key"), "open-groups")
         if turn < HUB_ROUNDS:
             hubs = open_.where(F.col("label") != F.col("hub.label")).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-        else:  # what is still open, directly
+        else:  # what is still open, whole
+            many = written(open_.groupBy(F.col("band").alias("m")).agg(F.count(F.lit(1)).alias("n")), "open-sizes")
+            open_ = written(open_.join(many, F.col("band") == F.col("m")).select("band", "node", "label", "n"), "open-members")
+            large = (open_.where((F.col("n") > SMALL) & (F.pmod("band", F.lit(BUCKETS // ROWS)) < CELL_BANDS))
+                     .withColumn("blocks", F.ceil(F.col("n") / BLOCK)))
+            found = found.union(written(cells(large), "cell-links"))
+            open_ = open_.where(F.col("n") <= SMALL)
             other = open_.select(F.col("band").alias("o_band"), F.col("node").alias("b"), F.col("label").alias("o_label"))
             hubs = open_.join(other, (F.col("band") == F.col("o_band")) & (F.col("label") != F.col("o_label")) & (F.col("node") < F.col("b"))).select(F.col("node").alias("a"), "b")
         pairs = hubs.distinct().join(tested.select(F.col("a").alias("ta"), F.col("b").alias("tb")),
                                      (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti")
         pairs = written(pairs, "pairs")
-        if not pairs.limit(1).count():
-            break
         more = written(verified(pairs), "verified")
+        found = found.union(more)
         tested = tested.union(pairs).union(pairs.select("b", "a"))
-        # a pair that the estimate or the sets reject stays tested; the next hub must differ
+        # a node that was a hub comes after those that were not
         done = pairs.select(F.col("a").alias("h")).distinct()
         groups = groups.join(done, F.col("node") == F.col("h"), "left").select("band", "node", F.when(F.col("h").isNotNull(), -F.abs("score")).otherwise(F.col("score")).alias("score"))
-        if more.limit(1).count():
-            found = found.union(more)
+        if turn == HUB_ROUNDS or more.limit(1).count():
             labels = components(found)
     return labels
 
