@@ -11,7 +11,6 @@ from vigil.operators.evaluate import confusion_counts, predict, threshold_at
 
 DEFAULT_PERCENTILE = 99
 DEFAULT_TOP = 100
-WIDE_TOP = 1000
 
 
 def classify_and_rank(scored: DataFrame, threshold: float, labels: DataFrame | None = None,
@@ -25,16 +24,15 @@ def classify_and_rank(scored: DataFrame, threshold: float, labels: DataFrame | N
 
 
 def top_alerts(scored: DataFrame, percentile: float = DEFAULT_PERCENTILE, flagged_only: bool = False,
-               k: int | None = None, score: str = "anomaly_score") -> DataFrame:
-    """N2 (all rows, top 100) and N3 (flagged rows only, 1000 if percentile >= 95)."""
+               k: int | None = DEFAULT_TOP, score: str = "anomaly_score") -> DataFrame:
+    """N2 (all rows, the ``k`` highest) and N3 (``flagged_only``); ``k=None`` returns every row asked for."""
     if not 0 <= percentile <= 100:
         raise ValueError("percentile must be within [0, 100]")
     thr = threshold_at(scored, score, percentile)
     ranked = classify_and_rank(scored, thr, score=score)
     if flagged_only:
         ranked = ranked.where(F.col("predicted_fraud") == 1)
-    k = k or (WIDE_TOP if (flagged_only and percentile >= 95) else DEFAULT_TOP)
-    return ranked.limit(k)
+    return ranked if k is None else ranked.limit(k)
 
 
 def alert_summary(scored: DataFrame, threshold: float, score: str = "anomaly_score",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vigil.plans import oracle_base as B
-from vigil.plans.queries_eval import FIXED_THRESHOLD, RUN_SCORES, STABILITY_FEATURES
+from vigil.plans.queries_eval import FIXED_THRESHOLD, RUN_SCORES
 from vigil.operators.evaluate import SWEEP
 
 CARD = B.CARD_FEATURES
@@ -51,23 +51,16 @@ _RUNS = " UNION ALL ".join(
     f"SELECT '{c}' AS run, is_fraudulent, CAST({c} AS DOUBLE) AS score FROM card_f WHERE split = 'test'"
     for c in RUN_SCORES)
 
-CARD_FEATURE_NAMES = None  # resolved lazily from the Spark side's feature order
-
-
-def _stability_sql(names):
-    sel = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, avg(CASE WHEN split = 'train' THEN CAST({c} AS DOUBLE) END) AS train_mean, "
-        f"avg(CASE WHEN split = 'test' THEN CAST({c} AS DOUBLE) END) AS test_mean FROM card_f" for c in names)
-    return B.with_(*CARD, final=f"""
-, m AS ({sel})
+_STABILITY = B.with_(*CARD, final="""
+, long AS (UNPIVOT (SELECT split, CAST(COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)) AS DOUBLE) FROM card_f)
+           ON COLUMNS(* EXCLUDE (split)) INTO NAME feature VALUE value),
+m AS (SELECT feature, avg(CASE WHEN split = 'train' THEN value END) AS train_mean,
+             avg(CASE WHEN split = 'test' THEN value END) AS test_mean FROM long GROUP BY feature)
 SELECT feature, round(train_mean, 6) AS train_mean, round(test_mean, 6) AS test_mean,
        coalesce(CASE WHEN train_mean = 0 THEN abs(test_mean) < 1
                      ELSE abs(test_mean - train_mean) / abs(train_mean) < 0.5 END, false) AS stable
 FROM m""")
 
-
-CARD_FIRST_FEATURES = ["time"] + [f"v{i}" for i in range(1, 10)]
-
 ORACLE = {
     "score_threshold": B.with_(*S, final="""
 SELECT 95 AS percentile, round(quantile_cont(anomaly_score, 0.95), 6) AS threshold FROM scored"""),
@@ -120,8 +113,7 @@ SELECT tn + fp + fn + tp AS total, tp + fp AS flagged, tp + fn AS actual_fraud,
     "alerts_at_percentile": B.with_(*S, thr(95), final="""
 SELECT s.row_id, round(s.anomaly_score, 6) AS anomaly_score, s.is_fraudulent AS actual_fraud,
        round(s.amount, 6) AS amount
-FROM scored s CROSS JOIN thr WHERE s.anomaly_score > thr.t
-ORDER BY s.anomaly_score DESC, s.row_id LIMIT 1000"""),
+FROM scored s CROSS JOIN thr WHERE s.anomaly_score > thr.t"""),
     "alerts_fixed_threshold": B.with_(*S, final=f"""
 SELECT count(*) AS total, CAST(sum(CASE WHEN anomaly_score > {FIXED_THRESHOLD} THEN 1 ELSE 0 END) AS BIGINT) AS flagged,
        count(*) - CAST(sum(CASE WHEN anomaly_score > {FIXED_THRESHOLD} THEN 1 ELSE 0 END) AS BIGINT) AS normal,
@@ -150,7 +142,7 @@ o AS (
   SELECT 'user_id', count(*) FROM (
     SELECT DISTINCT user_id FROM u WHERE split = 'train' INTERSECT SELECT DISTINCT user_id FROM u WHERE split = 'test'))
 SELECT "column", n_overlap, n_overlap > 0 AS leak FROM o"""),
-    "check_stability": _stability_sql(CARD_FIRST_FEATURES[:STABILITY_FEATURES]),
+    "check_stability": _STABILITY,
     "check_class_presence": B.with_(B.CARD, B.CLEAN_CARD, B.CARD_POS, B.CARD_SPLIT, final="""
 SELECT split, CAST(sum(CASE WHEN is_fraudulent = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positives,
        CAST(sum(CASE WHEN is_fraudulent = 0 THEN 1 ELSE 0 END) AS BIGINT) AS negatives,

@@ -16,7 +16,7 @@ INT_COLS = {"hour", "day_of_week", "day_of_month", "month", "quarter", "age_grou
             "high_quantity_velocity"}
 
 
-def _col(c: str) -> str:
+def _col(c: str, digits: bool = True) -> str:
     if c in INT_COLS or c.startswith(("is_", "amount_above", "quantity_above", "new_", "recent_", "old_",
                                       "established_", "young_", "senior_", "rare_", "high_", "low_", "medium_",
                                       "unusual_", "suspicious_", "weekend_", "rush_", "multi_",
@@ -24,11 +24,12 @@ def _col(c: str) -> str:
                                       "quantity_outlier", "v_features_outlier")):
         if c != "velocity_risk_score" and not c.endswith(("_rate", "_score")):
             return f"coalesce({c}, 0) AS {c}"
-    return f"round(coalesce(CAST({c} AS DOUBLE), 0), 6) AS {c}"
+    value = f"coalesce(CAST({c} AS DOUBLE), 0)"
+    return f"round({value}, 6) AS {c}" if digits else f"{value} AS {c}"
 
 
-def _subset(ctes, table, cols):
-    return B.with_(*ctes, final=f"SELECT row_id, split, {', '.join(_col(c) for c in cols)} FROM {table}")
+def _subset(ctes, table, cols, digits=True):
+    return B.with_(*ctes, final=f"SELECT row_id, split, {', '.join(_col(c, digits) for c in cols)} FROM {table}")
 
 
 CARD = B.CARD_FEATURES
@@ -81,8 +82,8 @@ SELECT row_id, CAST(p >= m - floor(0.2 * m) AS INTEGER) AS is_tail FROM normal""
     "temporal_features": _subset(CARD, "card_f", TEMPORAL_COLS),
     "hour_deviation": _subset(SHOP, "shop_f", ["hour", "hour_deviation"]),
     "customer_features": _subset(SHOP, "shop_f", CUSTOMER_COLS),
-    "behavior_features": _subset(SHOP, "shop_f", BEHAVIOR_COLS),
-    "velocity_features": _subset(SHOP, "shop_f", VELOCITY_COLS),
+    "behavior_features": _subset(SHOP, "shop_f", BEHAVIOR_COLS, digits=False),
+    "velocity_features": _subset(SHOP, "shop_f", VELOCITY_COLS, digits=False),
     "interactions_card": _subset(CARD, "card_f", CARD_INTER_COLS),
     "interactions_shop": _subset(SHOP, "shop_f", SHOP_INTER_COLS),
     "risk_flags_card": _subset(CARD, "card_f", CARD_RISK_COLS),
@@ -117,5 +118,5 @@ ORACLE.update({
     "feature_rows_card": B.with_(*CARD, final="""
 SELECT row_id, split, round(COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)), 6) FROM card_f"""),
     "feature_rows_shop": B.with_(*SHOP, final="""
-SELECT row_id, split, round(COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)), 6) FROM shop_f"""),
+SELECT row_id, split, COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)) FROM shop_f"""),
 })

@@ -26,7 +26,6 @@ KEYS = ("row_id", "split", "is_fraudulent")
 RUN_SCORES = ["amount_z_score", "comprehensive_risk_score", "amount_ratio_to_median", "v_features_std",
               "hour_deviation"]
 FIXED_THRESHOLD = 2.0
-STABILITY_FEATURES = 10
 
 
 def scored(spark, sf):
@@ -123,7 +122,7 @@ def q_alerts_summary(spark, sf):
 
 
 def q_alerts_at_percentile(spark, sf):
-    top = A.top_alerts(scored(spark, sf), 95, flagged_only=True)
+    top = A.top_alerts(scored(spark, sf), 95, flagged_only=True, k=None)
     return rounded(top.select("row_id", "anomaly_score", "actual_fraud", "amount"))
 
 
@@ -163,7 +162,7 @@ def _features(ft):
 
 def q_check_stability(spark, sf):
     ft = P.card_features(spark, sf)[1]
-    return rounded(Q.stability(ft, _features(ft)[:STABILITY_FEATURES]))
+    return rounded(Q.stability(ft, _features(ft)))
 
 
 def q_check_near_constant(spark, sf):

@@ -122,11 +122,11 @@ def q_customer_features(spark, sf):
 
 
 def q_behavior_features(spark, sf):
-    return _subset(_shop_ft(spark, sf), BEHAVIOR_COLS)
+    return _shop_ft(spark, sf).select("row_id", "split", *BEHAVIOR_COLS)  # not rounded: a tie would round differently per engine
 
 
 def q_velocity_features(spark, sf):
-    return _subset(_shop_ft(spark, sf), VELOCITY_COLS)
+    return _shop_ft(spark, sf).select("row_id", "split", *VELOCITY_COLS)
 
 
 def q_interactions_card(spark, sf):
@@ -226,7 +226,7 @@ def q_feature_rows_card(spark, sf):
 
 def q_feature_rows_shop(spark, sf):
     """The full 109-feature shop table."""
-    return rounded(_shop_ft(spark, sf).drop("is_fraudulent"))
+    return _shop_ft(spark, sf).drop("is_fraudulent")
 
 
 QUERIES.update({"feature_rows_card": q_feature_rows_card, "feature_rows_shop": q_feature_rows_shop})

@@ -2,42 +2,28 @@
 
 from __future__ import annotations
 
-from vigil.plans import oracle_eval, oracle_features, queries_eval, queries_features
+from vigil.plans import (
+    oracle_eval,
+    oracle_features,
+    oracle_stream,
+    oracle_windows,
+    queries_eval,
+    queries_features,
+    queries_jobs,
+    queries_stream,
+    queries_windows,
+)
 
 
 def all_queries() -> dict:
     out = {}
-    for mod in (queries_features, queries_eval):
-        out.update(mod.QUERIES)
-    for mod in _extra_query_modules():
+    for mod in (queries_features, queries_eval, queries_windows, queries_stream, queries_jobs):
         out.update(mod.QUERIES)
     return out
 
 
 def all_oracles() -> dict:
     out = {}
-    for mod in (oracle_features, oracle_eval):
-        out.update(mod.ORACLE)
-    for mod in _extra_oracle_modules():
+    for mod in (oracle_features, oracle_eval, oracle_windows, oracle_stream):
         out.update(mod.ORACLE)
     return out
-
-
-def _extra_query_modules():
-    mods = []
-    for name in ("queries_windows", "queries_stream", "queries_jobs"):
-        try:
-            mods.append(__import__(f"vigil.plans.{name}", fromlist=["QUERIES"]))
-        except ImportError:
-            pass
-    return mods
-
-
-def _extra_oracle_modules():
-    mods = []
-    for name in ("oracle_windows", "oracle_stream"):
-        try:
-            mods.append(__import__(f"vigil.plans.{name}", fromlist=["ORACLE"]))
-        except ImportError:
-            pass
-    return mods
