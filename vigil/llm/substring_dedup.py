@@ -51,18 +51,21 @@ _R_INV = pow(_R, -1, 1 << 64)
 class Rolling:
     """Hashes of any runs of a word-hash array from prefix sums of a polynomial modulo 2**64."""
 
+    power = back = np.ones(1, dtype=np.uint64)
+
     def __init__(self, words: np.ndarray):
         n = len(words)
-        power = np.full(n + 1, _R, dtype=np.uint64)
-        power[0] = 1
-        back = np.full(n + 1, _R_INV, dtype=np.uint64)
-        back[0] = 1
-        self.back = np.cumprod(back, dtype=np.uint64)
+        if len(Rolling.power) <= n:  # tables of powers, made once per worker for the longest text so far
+            size = 2 * n + 1024
+            for name, base in (("power", _R), ("back", _R_INV)):
+                factors = np.full(size, base, dtype=np.uint64)
+                factors[0] = 1
+                setattr(Rolling, name, np.cumprod(factors, dtype=np.uint64))
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(words * np.cumprod(power, dtype=np.uint64)[:n], dtype=np.uint64, out=self.sums[1:])
+        np.cumsum(words * Rolling.power[:n], dtype=np.uint64, out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sums[stop] - self.sums[start]) * self.back[start] + (stop - start).astype(np.uint64))
+        return mix((self.sums[stop] - self.sums[start]) * Rolling.back[start] + (stop - start).astype(np.uint64))
 
 
 def segments(words: np.ndarray, window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, ...]:
@@ -124,7 +127,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             rows: list[tuple] = []
             for row in batch.slice(lo, 64).to_pylist():
                 words = hashes.of(_unpack(row["packed"]))
-                rolling = Rolling(words)
+                rolling = Rolling(words) if any(seg["hot"] for seg in row["wanted"]) else None
                 for seg in row["wanted"]:
                     if seg["hot"]:
                         at = np.arange(seg["at"], seg["at"] + seg["n"])
@@ -140,9 +143,10 @@ def _piece_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One partition is one shard: index its pieces, stream them through, report repeated intervals."""
-    table = pa.Table.from_batches([b for b in batches if b.num_rows])
-    if not table.num_rows:
+    some = [b for b in batches if b.num_rows]
+    if not some:
         return
+    table = pa.Table.from_batches(some)
     table = table.sort_by([("doc_id", "ascending"), ("tag", "ascending"), ("at", "ascending")])  # null doc_id: see below
     ids = table["doc_id"].combine_chunks()
     null = ids.is_null().to_numpy(zero_copy_only=False)
@@ -203,6 +207,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = written(docs.mapInArrow(_segment_batches, "m long, h long, doc_id long, tag int, at int, n int"), "segments")
     often = found.groupBy("m").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(F.col("m").alias("often"))
+    often = written(often, "repeated-minimizers")  # a plain table, so that a skewed side of the join can be split
     found = written(found.join(often, F.col("m") == F.col("often")).drop("often"), "repeated-segments")
     classes = found.groupBy("m", "h").agg(F.min(F.struct("doc_id", "tag", "at")).alias("first"), F.min("n").alias("n"))
     classes = written(classes, "segment-classes")
@@ -210,6 +215,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
              .where(~F.struct("doc_id", "tag", "at").eqNullSafe(F.col("first")))
              .select("doc_id", "tag", F.col("at").alias("start"), (F.col("at") + F.col("n") + WINDOW - 1).alias("stop")))
     mixed = classes.groupBy(F.col("m").alias("mixed")).agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    mixed = written(mixed, "mixed-minimizers")
     wanted = (classes.join(mixed, F.col("m") == F.col("mixed"))
               .groupBy("first.doc_id", "first.tag")  # at most the document's own segments
               .agg(F.collect_list(F.struct(F.col("first.at").alias("at"), "n", "m", (F.col("classes") > HOT).alias("hot"))).alias("wanted"))
