@@ -37,7 +37,7 @@ MOST = 2.0           # a source's target stops at so many times its size
 BLOCK = 64           # words a block
 SHARD = 4096         # slots an output shard
 ROUNDS = 24          # of the swap-or-not shuffle
-CHUNK = 65536        # slots or blocks made from one row at a time
+CHUNK = 8192         # slots made from one row at a time
 SEED = 20
 
 
@@ -69,11 +69,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
             .select("source", "i", "weight", "source_size", "target"))
 
 
-def _numbers(df: DataFrame, count: str, out: str) -> DataFrame:
+def _numbers(df: DataFrame, count: str, out: str, tasks: int) -> DataFrame:
     """A row per number in [0, count), made in chunks that are dealt over the tasks first."""
     chunks = (df.where(F.col(count) > 0)
               .withColumn("_first", F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1, F.lit(CHUNK).cast("long"))))
-              .repartition(F.col("i"), F.col("_first")))
+              .repartition(tasks, "i", "_first"))
     last = F.least(F.col("_first") + CHUNK, F.col(count)) - 1
     return chunks.withColumn(out, F.explode(F.sequence(F.col("_first"), last))).drop("_first")
 
@@ -106,8 +106,9 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = M
               .withColumn("start", F.col("before") + F.col("inside"))
               .select("doc_id", "source", "size", "r", "i", "start", "source_size", "target"))
     total = sources.agg(F.sum("slots")).first()[0] or 0
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // 1_000_000)
     turn = F.floor(F.col("j") / F.col("blocks"))
-    slots = (_numbers(sources.select("i", "slots", "blocks", "first_slot"), "slots", "j")
+    slots = (_numbers(sources.select("i", "slots", "blocks", "first_slot"), "slots", "j", tasks)
              .withColumn("place", swap_or_not(F.col("first_slot") + F.col("j"), F.lit(max(total, 1)).cast("long"), [F.lit(seed)]))
              .withColumn("block", swap_or_not(F.pmod("j", "blocks"), F.col("blocks"), [F.lit(seed + 1), F.col("i"), turn]))
              .select(F.floor(F.col("place") / SHARD).alias("shard"), F.pmod("place", F.lit(SHARD)).alias("slot"), "i", "block"))
@@ -124,7 +125,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     pieces = (placed.where("size > 0")
               .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
               .withColumn("words", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)))
-    taken = (pieces.join(drawn, (F.col("i") == F.col("d_i")) & (F.col("block") == F.col("d_block")))
+    # the drawn blocks grow with the corpus, which the planner can't tell from the few rows they are made of
+    taken = (pieces.join(drawn.hint("merge"), (F.col("i") == F.col("d_i")) & (F.col("block") == F.col("d_block")))
              .groupBy("i", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
              .select(F.col("i").alias("t_i"), F.col("start").alias("t_start"), "taken"))
     # only documents with words own a start; the others take nothing
