@@ -24,11 +24,13 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,6 +40,8 @@ from vigil.llm.text import scratch
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
+TWO_SPACES = re.compile(r"\s\s").search
+END_BYTES = END.to_bytes(4, "little")
 SAMPLE, SAMPLE_CHARS = 512, 8192
 DICTIONARY_BYTES = 65536
 LEVEL = 3
@@ -56,8 +60,36 @@ def tokenizer(name: str):
     return t
 
 
-def encode(t, texts: list[str | None]) -> list[np.ndarray]:
-    return [np.array([*e.ids, END], dtype="<u4") for e in t.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)]
+class Encoder(dict):
+    """Ids of texts by the tokenizers library, remembered per piece.
+
+    The byte-level pre-tokenizer cuts a text by a fixed pattern, and merges never cross a cut, so the ids
+    of a text are those of its pieces. A space after a non-space and before one is always such a cut; a
+    text without white space in a row is cut there, any other by the pattern. Pieces seen before cost a
+    look-up; new ones go to the library."""
+
+    def __init__(self, name: str, limit: int = 700_000):
+        super().__init__()
+        import public_tokenizers
+
+        self.tokenizer, self.limit = tokenizer(name), limit
+        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian uint32 ids with the end id."""
+        text = text or ""
+        if "\0" in text or TWO_SPACES(text):
+            pieces = self.pieces(text)
+        else:
+            pieces = text.replace(" ", "\0 ").split("\0")
+        new = list({p for p in pieces if p not in self})
+        if new:
+            if len(self) + len(new) > self.limit:
+                self.clear()
+                new = list(set(pieces))
+            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                self[p] = np.array(e.ids, dtype="<u4").tobytes()
+        return b"".join([*map(self.__getitem__, pieces), END_BYTES])
 
 
 def train(samples: list[bytes]) -> bytes:
@@ -70,14 +102,17 @@ def train(samples: list[bytes]) -> bytes:
 def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sample = (docs.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-              .orderBy("h", "doc_id", "text").limit(SAMPLE).collect())
-    dictionary = train([x.tobytes() for x in encode(tokenizer(name), [r.text for r in sample])]) if sample else b""
+    # ids first, so that a task sends SAMPLE numbers to the driver and not as many texts
+    ids = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select(F.col("doc_id").alias("s"))
+    sample = (docs.join(F.broadcast(ids), F.col("doc_id") == F.col("s"), "left_semi")  # SAMPLE rows at most
+              .select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy("doc_id", "text").limit(SAMPLE).collect())
+    first = Encoder(name)
+    dictionary = train([first.encode(r.text) for r in sample]) if sample else b""
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(dict_hash, bytearray(dictionary))], "dict_hash string, dictionary binary").write.parquet(f"{path}/dictionary")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(name)
+        encoder = Encoder(name)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if shared:
             shared.precompute_compress(level=LEVEL)
@@ -95,10 +130,11 @@ def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                for doc_id, tokens in zip(part["doc_id"].to_pylist(), encode(t, part["text"].to_pylist())):
+                for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
+                    tokens = encoder.encode(text)
                     ids.append(doc_id)
-                    counts.append(len(tokens))
-                    frames.append(press.compress(tokens.tobytes()))
+                    counts.append(len(tokens) // 4)
+                    frames.append(press.compress(tokens))
                     size += len(frames[-1])
                     if len(ids) >= CHUNK_DOCS or size >= CHUNK_BYTES:
                         yield flush()
