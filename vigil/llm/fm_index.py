@@ -61,6 +61,8 @@ class FMIndex:
             zeros = int(len(seq) - ones.sum())
             self.levels.append((bit, Bits(ones), zeros))
             seq = np.concatenate((seq[~ones], seq[ones]))
+        every = np.arange(sigma)  # where a symbol's suffixes begin, less where its run in the last level begins
+        self.shift = self.first[:-1] - self._rank_from(every, np.zeros(sigma, dtype=np.int64))
 
     def _rank_from(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Place of ``at`` in the last level on the path of ``symbol``."""
@@ -69,24 +71,19 @@ class FMIndex:
             at = np.where((symbol >> bit) & 1 == 1, zeros + one, at - one)
         return at
 
-    def occurrences(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How often ``symbol`` stands in the first ``at`` places of the BWT."""
-        return self._rank_from(symbol, at) - self._rank_from(symbol, np.zeros_like(at))
-
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The suffix interval of ``symbol`` followed by what [low, high) stands for."""
-        base = self._rank_from(symbol, np.zeros_like(low))
-        first = self.first[symbol]
-        return first + self._rank_from(symbol, low) - base, first + self._rank_from(symbol, high) - base
+        shift = self.shift[symbol]
+        return self._rank_from(symbol, low) + shift, self._rank_from(symbol, high) + shift
 
     def repeated(self, text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Of the runs text[start:start + length]: those that occur twice or more, and their intervals' low ends.
 
         All runs are extended backwards together; a run whose interval shrinks to itself alone has a
         matching statistic below ``length`` and goes no further."""
-        low = np.zeros(len(starts), dtype=np.int64)
-        high = np.full(len(starts), self.size, dtype=np.int64)
-        for j in range(length - 1, -1, -1):
+        last = text[starts + length - 1]
+        low, high = self.first[last], self.first[last + 1]
+        for j in range(length - 2, -1, -1):
             low, high = self.extend(text[starts + j], low, high)
             more = high - low > 1
             starts, low, high = starts[more], low[more], high[more]
