@@ -195,8 +195,11 @@ def _named(spans: list[tuple[int, int, int]]) -> str:
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans and n_added of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = (docs.where(F.regexp_like("text", F.lit("[0-9@]"))).select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-              .orderBy("h", "text").limit(SAMPLE).collect())
+    # ids first, so that a task sends SAMPLE numbers to the driver and not as many texts
+    ids = (docs.where(F.regexp_like("text", F.lit("[0-9@]")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("s")).distinct()
+           .orderBy(F.xxhash64("s"), "s").limit(SAMPLE))
+    sample = (docs.join(F.broadcast(ids), F.col("doc_id") == F.col("s"), "left_semi")  # SAMPLE rows at most
+              .select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy("doc_id", "text").limit(SAMPLE).collect())
     weights = fit([r.text for r in sample])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
