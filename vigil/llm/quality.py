@@ -32,7 +32,6 @@ from vigil.llm.text import WS, words_of
 MAX_DOCS = 20         # a line may stand in so many documents of a host
 MIN_SPREAD = 0.25     # share of different sketches from which a line is boilerplate, not a copied text
 MIN_KEPT_SHARE = 0.3  # share of its words that a document must keep
-HELPERS = ("_words", "_two", "_runs", "_lines", "_by_hash", "_at")
 ANCHOR_CHARS = 8      # three-word runs that begin with a word this long make the sketch
 
 
@@ -42,55 +41,73 @@ def _pairs(a: Column, shift: int, f) -> Column:
     return F.zip_with(F.slice(a, 1, n), F.slice(a, 1 + shift, n), f)
 
 
-def _three_word_runs(docs: DataFrame, f) -> DataFrame:
-    """``docs`` with _words and _runs: ``f`` of every three words in a row. Each intermediate array is
-    a column of its own, so that it is made once per row and not once per use."""
-    return (docs.withColumn("_words", words_of(F.col("text")))
-            .withColumn("_two", _pairs(F.col("_words"), 1, lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-            .withColumn("_runs", _pairs(F.col("_two"), 1, lambda p, q: f(p["a"], p["b"], q["b"])))
-            .drop("_two"))
+def _let(value: Column, f) -> Column:
+    """``f(value)`` with value made once, however often ``f`` uses it and wherever a filter on the result moves."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def repeat_words(words: Column) -> Column:
+    """Words in three-word runs found twice or more.
+
+    A key has the run's place in its low bits and the upper bits of the run's hash above: sorted,
+    equal runs are neighbours, and the whole hashes at both places confirm it."""
+    def of_runs(runs: Column) -> Column:
+        full = F.pow(F.lit(2.0), F.ceil(F.log2(F.size(runs) + 1.0))).cast("long") - 1
+        return _let(full, lambda mask: _let(
+            F.sort_array(F.transform(runs, lambda h, i: h.bitwiseAND(F.bitwise_not(mask)).bitwiseOR(i.cast("long")))),
+            lambda keys: of_keys(runs, mask, keys)))
+
+    def of_keys(runs: Column, mask: Column, keys: Column) -> Column:
+        place = lambda k: k.bitwiseAND(mask).cast("int")
+        same = lambda a, b: ((a.bitwiseXOR(b) >= 0) & (a.bitwiseXOR(b) <= mask)
+                             & (F.element_at(runs, place(a) + 1) == F.element_at(runs, place(b) + 1)))
+        twins = F.filter(_pairs(keys, 1, lambda a, b: F.when(same(a, b), F.array(place(a), place(b)))), F.isnotnull)
+        return _let(F.sort_array(F.array_distinct(F.flatten(twins))), covered)
+
+    def covered(at: Column) -> Column:
+        # each repeated run adds its three words but for those that the next one covers too
+        gaps = F.aggregate(_pairs(at, 1, lambda a, b: F.least(b - a, F.lit(3))), F.lit(0), lambda t, x: t + x)
+        return F.when(F.size(at) > 0, gaps + 3).otherwise(0)
+
+    pairs = lambda a, b: F.xxhash64(a, b)
+    return _let(words, lambda w: _let(_pairs(w, 1, pairs), lambda two: _let(_pairs(two, 1, pairs), of_runs))).cast("long")
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
-    # sorted by hash, equal runs are neighbours: a run repeats if a neighbour has its hash
-    by_hash = F.array_sort(F.transform("_runs", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    both = _pairs(F.col("_by_hash"), 1, lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"]))
-                  .otherwise(F.array().cast("array<int>")))
-    # each repeated run adds its three words but for those that the next one covers too
-    gaps = F.aggregate(_pairs(F.col("_at"), 1, lambda a, b: F.least(b - a, F.lit(3))), F.lit(0), lambda t, x: t + x)
-    return (_three_word_runs(docs, F.xxhash64)
+    return (docs.withColumn("_words", words_of(F.col("text")))
             .withColumn("n_words", F.size("_words").cast("long"))
-            .withColumn("word_chars", F.aggregate("_words", F.lit(0).cast("long"), lambda t, x: t + F.length(x)))
+            .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
             .withColumn("n_symbols", F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"))
-            .withColumn("_lines", lines)
-            .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-            .withColumn("_by_hash", by_hash)
-            .withColumn("_at", F.array_sort(F.array_distinct(F.flatten(both))))
-            .withColumn("n_repeat_words", F.when(F.size("_at") > 0, gaps + 3).otherwise(0).cast("long"))
+            .withColumn("n_dup_lines", _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"))
+            .withColumn("n_repeat_words", repeat_words(F.col("_words")))
             .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-            .drop(*HELPERS))
+            .drop("_words"))
 
 
 def normal_lines(text: Column) -> Column:
     """Lines with a word: white space runs as one space, trimmed, digit runs as 0."""
-    flat = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09\x0B-\x0D]+", " "), "[0-9]+", "0")
+    flat = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " "), "[0-9]+", "0")
     return F.filter(F.transform(F.split(flat, "\n"), F.trim), lambda x: x != "")
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """``docs`` with sketch: the smallest MD5 of the three-word runs that begin with a long word; without any, of the text."""
-    rows = _three_word_runs(docs, lambda a, b, c: F.when(F.length(a) >= ANCHOR_CHARS, F.md5(F.concat_ws(" ", a, b, c))))
-    return rows.withColumn("sketch", F.coalesce(F.array_min("_runs"), F.md5(F.coalesce(F.col("text"), F.lit(""))))).drop(*HELPERS)
+def sketch(text: Column) -> Column:
+    """Smallest MD5 of the three-word runs that begin with a long word; without any, of the text."""
+    def of(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 2, F.lit(0))
+        long_pair = F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.when(F.length(a) >= ANCHOR_CHARS, F.concat_ws(" ", a, b)))
+        return F.array_min(F.zip_with(long_pair, F.slice(w, 3, n), lambda p, c: F.when(p.isNotNull(), F.md5(F.concat_ws(" ", p, c)))))
+    return F.coalesce(_let(words_of(text), of), F.md5(F.coalesce(text, F.lit(""))))
 
 
 def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS, min_spread: float = MIN_SPREAD) -> DataFrame:
     """(host, line, n_docs) of the lines above the limits."""
-    lines = sketched(docs.select("source", "text")).select(
-        F.col("source").alias("host"), "sketch",
-        F.explode(F.array_distinct(F.transform(normal_lines(F.col("text")), F.md5))).alias("line"))
+    # the sketch is a column before the lines are exploded, else it is made once per line
+    lines = docs.select(F.col("source").alias("host"), sketch(F.col("text")).alias("sketch"), "text")
+    lines = lines.select("host", "sketch",
+                        F.explode(F.array_distinct(F.transform(normal_lines(F.col("text")), F.md5))).alias("line"))
     return (lines.groupBy("host", "line", "sketch").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("host", "line").agg(F.sum("n").alias("n_docs"), F.count(F.lit(1)).alias("n_sketches"))
             .where((F.col("n_docs") > max_docs) & (F.col("n_sketches") >= min_spread * F.col("n_docs")))
@@ -103,11 +120,11 @@ RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 def judge(docs: DataFrame, max_docs: int = MAX_DOCS, min_spread: float = MIN_SPREAD,
           min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """``docs`` with the base measures, n_boilerplate_words and kept."""
-    docs = docs.drop(*RESULT, *HELPERS)
+    docs = docs.drop(*RESULT, "_words")
     often = frequent_lines(docs, max_docs, min_spread).select(F.col("host").alias("often_host"), F.col("line").alias("often_line"))
     print_ = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    places = docs.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), print_.alias("p"),
-                         F.posexplode(normal_lines(F.col("text"))).alias("at", "line"))
+    places = docs.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), print_.alias("p"), "text")
+    places = places.select("d", "s", "p", F.posexplode(normal_lines(F.col("text"))).alias("at", "line"))
     places = places.select("d", "s", "p", "at", F.md5("line").alias("line"), F.size(F.split("line", " ")).alias("n"))
     removed = (places.join(often, F.col("s").eqNullSafe(F.col("often_host")) & (F.col("line") == F.col("often_line")))
                .groupBy("d", "s", "p", "at").agg(F.max("n").alias("n"))  # repeated rows are one here

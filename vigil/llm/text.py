@@ -19,7 +19,8 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 def words_of(text: Column) -> Column:
     """Array of the maximal runs without white space; null text gives an empty array."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WS), lambda w: w != "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WS))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
