@@ -22,6 +22,7 @@ table has an empty one. Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import re
@@ -74,6 +75,9 @@ class Encoder(dict):
 
         self.tokenizer, self.limit = tokenizer(name), limit
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # bytes of each id
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian uint32 ids with the end id."""
@@ -82,14 +86,36 @@ class Encoder(dict):
             pieces = self.pieces(text)
         else:
             pieces = text.replace(" ", "\0 ").split("\0")
-        new = list({p for p in pieces if p not in self})
-        if new:
+        ids = list(map(self.get, pieces))
+        if None in ids:
+            new = list(dict.fromkeys(p for p, known in zip(pieces, ids) if known is None))
             if len(self) + len(new) > self.limit:
                 self.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([*map(self.__getitem__, pieces), END_BYTES])
+                new = list(dict.fromkeys(pieces))
+            self._learn(new)
+            ids = map(self.__getitem__, pieces)
+        return b"".join([*ids, END_BYTES])
+
+    def _learn(self, new: list[str]) -> None:
+        """Pieces of a space and a word stay pieces when they are joined, so one call encodes them all."""
+        joined = [p for p in new if p[:1] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
+        if joined:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum(self.sizes[ids])
+            stops = np.cumsum(np.fromiter((len(p.encode()) for p in joined), dtype=np.int64, count=len(joined)))
+            at = np.searchsorted(ends, stops)
+            if ends[-1] == stops[-1] and (ends[at] == stops).all():
+                raw, cuts = ids.tobytes(), ((at + 1) * 4).tolist()
+                self.update((p, raw[lo:hi]) for p, lo, hi in zip(joined, [0, *cuts], cuts))
+        rest = [p for p in new if p not in self]
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self[p] = np.array(e.ids, dtype="<u4").tobytes()
+
+
+@functools.lru_cache(maxsize=1)
+def encoder(name: str) -> Encoder:
+    """One per process: the tasks of a worker go on with the pieces it knows."""
+    return Encoder(name)
 
 
 def train(samples: list[bytes]) -> bytes:
@@ -106,13 +132,12 @@ def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
     ids = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select(F.col("doc_id").alias("s"))
     sample = (docs.join(F.broadcast(ids), F.col("doc_id") == F.col("s"), "left_semi")  # SAMPLE rows at most
               .select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy("doc_id", "text").limit(SAMPLE).collect())
-    first = Encoder(name)
-    dictionary = train([first.encode(r.text) for r in sample]) if sample else b""
+    dictionary = train([encoder(name).encode(r.text) for r in sample]) if sample else b""
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(dict_hash, bytearray(dictionary))], "dict_hash string, dictionary binary").write.parquet(f"{path}/dictionary")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(name)
+        encode = encoder(name).encode
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if shared:
             shared.precompute_compress(level=LEVEL)
@@ -131,7 +156,7 @@ def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
                 for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
-                    tokens = encoder.encode(text)
+                    tokens = encode(text)
                     ids.append(doc_id)
                     counts.append(len(tokens) // 4)
                     frames.append(press.compress(tokens))
