@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -47,6 +47,9 @@ SAMPLE, SAMPLE_CHARS = 512, 8192
 DICTIONARY_BYTES = 65536
 LEVEL = 3
 CHUNK_DOCS, CHUNK_BYTES = 2048, 2 << 20
+BLOCK_CHARS = 8 << 20    # texts encoded at once; a longer text is a block of its own
+BLOCK_PIECES = 1 << 18   # pieces whose ids are gathered at once
+LEARN = 50_000           # new pieces in one call of the library
 CHUNKS = "shard int, chunk int, dict_hash string, doc_ids array<long>, n_tokens array<long>, offsets array<long>, frames binary"
 
 
@@ -61,55 +64,91 @@ def tokenizer(name: str):
     return t
 
 
-class Encoder(dict):
+class Encoder:
     """Ids of texts by the tokenizers library, remembered per piece.
 
     The byte-level pre-tokenizer cuts a text by a fixed pattern, and merges never cross a cut, so the ids
-    of a text are those of its pieces. A space after a non-space and before one is always such a cut; a
-    text without white space in a row is cut there, any other by the pattern. Pieces seen before cost a
-    look-up; new ones go to the library."""
-
-    def __init__(self, name: str, limit: int = 700_000):
-        super().__init__()
-        import public_tokenizers
+    of a text are those of its pieces. A space after a non-space and before one is always such a cut, so a
+    text without white space in a row is cut at its spaces, in Arrow and for many texts at once. Each piece
+    is looked up among the known ones, new ones go to the library, and their ids are gathered. The key of a
+    piece is what follows its space; a text's first piece has the key "\0" + piece, and "\0\0" is the
+    end id. Texts with white space in a row or "\0" go to the library whole."""
 
+    def __init__(self, name: str, limit: int = 1_500_000):
         self.tokenizer, self.limit = tokenizer(name), limit
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # bytes of each id
         self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = pa.array(["\0\0"], pa.large_string())
+        self.ids = np.array([END], dtype="<u4")  # ids of all keys, one after another
+        self.ends = np.array([0, 1])
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian uint32 ids with the end id."""
-        text = text or ""
-        if "\0" in text or TWO_SPACES(text):
-            pieces = self.pieces(text)
-        else:
-            pieces = text.replace(" ", "\0 ").split("\0")
-        ids = list(map(self.get, pieces))
-        if None in ids:
-            new = list(dict.fromkeys(p for p, known in zip(pieces, ids) if known is None))
-            if len(self) + len(new) > self.limit:
-                self.clear()
-                new = list(dict.fromkeys(pieces))
-            self._learn(new)
-            ids = map(self.__getitem__, pieces)
-        return b"".join([*ids, END_BYTES])
-
-    def _learn(self, new: list[str]) -> None:
-        """Pieces of a space and a word stay pieces when they are joined, so one call encodes them all."""
-        joined = [p for p in new if p[:1] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
-        if joined:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Of each text, little-endian uint32 ids with the end id."""
+        whole = [bool(t) and ("\0" in t or TWO_SPACES(t) is not None) for t in texts]
+        plain = iter(self._plain([t or "" for t, w in zip(texts, whole) if not w]))
+        return [self._library([t])[0] + END_BYTES if w else next(plain) for t, w in zip(texts, whole)]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        pieces = pc.split_pattern(pa.array([f"\0{t} \0\0" for t in texts], pa.large_string()), " ")
+        at = self._places(pieces.flatten())
+        sizes = np.diff(self.ends)[at]
+        out = []
+        for lo in range(0, len(at), BLOCK_PIECES):
+            some, size = at[lo: lo + BLOCK_PIECES], sizes[lo: lo + BLOCK_PIECES]
+            shift = self.ends[some] - (np.cumsum(size) - size)
+            out.append(self.ids[np.repeat(shift, size) + np.arange(size.sum())])
+        raw = memoryview(np.concatenate(out).tobytes())
+        cuts = (np.concatenate(([0], np.cumsum(np.add.reduceat(sizes, pieces.offsets.to_numpy()[:-1])))) * 4).tolist()
+        return [bytes(raw[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
+
+    def _places(self, keys: pa.Array) -> np.ndarray:
+        """Places of the keys among the known ones, to which new ones are added."""
+        at = pc.index_in(keys, self.keys)
+        found = at.fill_null(-1).to_numpy().astype(np.int64)
+        if at.null_count:
+            new = keys.filter(at.is_null()).dictionary_encode()
+            if len(self.keys) + len(new.dictionary) > self.limit:
+                self._forget()
+                found[:] = -1
+                new = keys.dictionary_encode()
+            ids = self._learn([k[1:] if k[:1] == "\0" else " " + k for k in new.dictionary.to_pylist()])
+            found[found < 0] = len(self.keys) + new.indices.to_numpy().astype(np.int64)
+            self.keys = pa.concat_arrays([self.keys, new.dictionary])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), dtype="<u4")])
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        return found
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of each piece. Pieces of a space and a word stay pieces when they are joined, so few calls encode them all."""
+        known: dict[str, bytes] = {}
+        words = [p for p in new if p[:1] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
+        for lo in range(0, len(words), LEARN):
+            joined = words[lo: lo + LEARN]
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.cumsum(self.sizes[ids])
             stops = np.cumsum(np.fromiter((len(p.encode()) for p in joined), dtype=np.int64, count=len(joined)))
             at = np.searchsorted(ends, stops)
             if ends[-1] == stops[-1] and (ends[at] == stops).all():
                 raw, cuts = ids.tobytes(), ((at + 1) * 4).tolist()
-                self.update((p, raw[lo:hi]) for p, lo, hi in zip(joined, [0, *cuts], cuts))
-        rest = [p for p in new if p not in self]
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self[p] = np.array(e.ids, dtype="<u4").tobytes()
+                known.update((p, raw[lo:hi]) for p, lo, hi in zip(joined, [0, *cuts], cuts))
+        rest = [p for p in new if p not in known]
+        known.update(zip(rest, self._library(rest)))
+        known["\0"] = END_BYTES  # the end key, when all keys are learnt anew
+        return [known[p] for p in new]
 
 
 @functools.lru_cache(maxsize=1)
@@ -125,6 +164,23 @@ def train(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """doc_ids and texts, about BLOCK_CHARS characters at a time."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 64):
+            part = batch.slice(lo, 64)
+            for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
+                ids.append(doc_id)
+                texts.append(text)
+                size += len(text or "")
+                if size >= BLOCK_CHARS:
+                    yield ids, texts
+                    ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -137,7 +193,7 @@ def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
     spark.createDataFrame([(dict_hash, bytearray(dictionary))], "dict_hash string, dictionary binary").write.parquet(f"{path}/dictionary")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(name).encode
+        encode_all = encoder(name).encode_all
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if shared:
             shared.precompute_compress(level=LEVEL)
@@ -152,18 +208,15 @@ def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], ["shard", "chunk", "dict_hash", "doc_ids", "n_tokens", "offsets", "frames"])
 
         size = 0
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
-                    tokens = encode(text)
-                    ids.append(doc_id)
-                    counts.append(len(tokens) // 4)
-                    frames.append(press.compress(tokens))
-                    size += len(frames[-1])
-                    if len(ids) >= CHUNK_DOCS or size >= CHUNK_BYTES:
-                        yield flush()
-                        chunk, size, ids, counts, frames = chunk + 1, 0, [], [], []
+        for doc_ids, texts in blocks(batches):
+            for doc_id, tokens in zip(doc_ids, encode_all(texts)):
+                ids.append(doc_id)
+                counts.append(len(tokens) // 4)
+                frames.append(press.compress(tokens))
+                size += len(frames[-1])
+                if len(ids) >= CHUNK_DOCS or size >= CHUNK_BYTES:
+                    yield flush()
+                    chunk, size, ids, counts, frames = chunk + 1, 0, [], [], []
         if ids:
             yield flush()
 
@@ -171,8 +224,9 @@ def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
      .mapInArrow(pack, CHUNKS).write.parquet(f"{path}/chunks"))
 
 
-def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
-    """doc_id, shard, chunk, before (ids before it in its chunk), n_tokens and ids (uint32 bytes), of all or of the given documents."""
+def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None, with_ids: bool = True) -> DataFrame:
+    """doc_id, shard, chunk, before (ids before it in its chunk), n_tokens, ids (uint32 bytes; null without ``with_ids``)
+    and ids_crc32, of all or of the given documents."""
     dictionaries = {r.dict_hash: bytes(r.dictionary) for r in spark.read.parquet(f"{path}/dictionary").collect()}  # one row a write
     for h, d in dictionaries.items():
         if hashlib.sha256(d).hexdigest() != h:
@@ -195,7 +249,7 @@ def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> Da
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r["doc_ids"][k] for k in ks], pa.int64()), pa.array([r["shard"]] * len(ks), pa.int32()),
                          pa.array([r["chunk"]] * len(ks), pa.int32()), pa.array([before[k] for k in ks], pa.int64()),
-                         pa.array([r["n_tokens"][k] for k in ks], pa.int64()), pa.array(raw, pa.binary()),
+                         pa.array([r["n_tokens"][k] for k in ks], pa.int64()), pa.array(raw if with_ids else [None] * len(ks), pa.binary()),
                          pa.array([zlib.crc32(x) for x in raw], pa.int64())],
                         ["doc_id", "shard", "chunk", "before", "n_tokens", "ids", "ids_crc32"])
 
@@ -211,7 +265,7 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
     starts = (sums.withColumn("chunk_start", F.sum("n").over(Window.partitionBy("shard").orderBy("chunk")) - F.col("n"))
               .join(shards, F.col("shard") == F.col("s"))
               .select("s", F.col("chunk").alias("c"), (F.col("shard_start") + F.col("chunk_start")).alias("chunk_start")))
-    return (read(spark, path).drop("ids").join(starts, (F.col("shard") == F.col("s")) & (F.col("chunk") == F.col("c")))
+    return (read(spark, path, with_ids=False).drop("ids").join(starts, (F.col("shard") == F.col("s")) & (F.col("chunk") == F.col("c")))
             .select("doc_id", (F.col("chunk_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"))
 
 
