@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm.fm_index import FMIndex
-from vigil.llm.text import WordHashes, mix, written
+from vigil.llm.text import mix, word_hashes, written
 
 WINDOW = 20
 RUN = 6         # words in a minimizer
@@ -89,14 +89,13 @@ def tag_of(text: bytes) -> int:
 
 
 def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             part = batch.slice(lo, 256)
             out: list[list] = [[], [], [], [], [], []]
             for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
                 raw = (text or "").encode()
-                m, h, first, count = segments(hashes.of(raw.split()))
+                m, h, first, count = segments(word_hashes(raw))
                 for column, values in zip(out, (m.view(np.int64), h.view(np.int64), first.astype(np.int32), count.astype(np.int32))):
                     column.append(values)
                 out[4].append(pa.array([doc_id] * len(m), pa.int64()))
@@ -121,12 +120,11 @@ def _unpack(packed: bytes) -> list[bytes]:
 
 def _piece_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of the wanted segments: one piece per segment, or per window where the minimizer is hot."""
-    hashes = WordHashes()
     for batch in batches:
         for lo in range(0, batch.num_rows, 64):
             rows: list[tuple] = []
             for row in batch.slice(lo, 64).to_pylist():
-                words = hashes.of(_unpack(row["packed"]))
+                words = word_hashes(zstandard.ZstdDecompressor().decompress(row["packed"]))
                 rolling = Rolling(words) if any(seg["hot"] for seg in row["wanted"]) else None
                 for seg in row["wanted"]:
                     if seg["hot"]:

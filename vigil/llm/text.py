@@ -60,6 +60,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)  # masks of the first k bytes
+LONG_WORD = 64
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hash of each word of a text, eight bytes of all words at a time; words over ``LONG_WORD`` bytes one by one."""
+    space = np.concatenate(([True], _SPACE[np.frombuffer(raw, dtype=np.uint8)], [True]))
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(raw) + 1, dtype="<u8", buffer=raw + b"\0" * 8, strides=(1,))
+    out = mix(size.astype(np.uint64) * _MULT)
+    live = np.arange(len(size))
+    for j in range(0, min(int(size.max(initial=0)), LONG_WORD), 8):
+        live = live[size[live] > j]
+        out[live] = mix((out[live] ^ (eight[start[live] + j] & _LOW_BYTES[np.minimum(size[live] - j, 8)])) + _MULT)
+    for k in np.flatnonzero(size > LONG_WORD):
+        out[k] = xxhash.xxh3_64_intdigest(raw[start[k]: start[k] + size[k]])
+    return out
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of ``k`` words; with fewer words, of the whole run; without words, none."""
     n = len(words)
