@@ -173,6 +173,25 @@ def test_encoder_equals_the_library_on_odd_texts():
         assert encoder.encode(t) == np.array([*ids, 0], dtype="<u4").tobytes()
 
 
+def test_texts_encoded_together_equal_the_library_also_when_pieces_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_PIECES", 7)
+    encoder = token_files.Encoder(token_files.TOKENIZER, limit=20)
+    rng = np.random.default_rng(6)
+    for _ in range(8):
+        texts = [None, "", "a  b", "x\0y", *(" ".join(f"w{k}" for k in rng.integers(40, size=n)) for n in (0, 1, 3, 30)), " a ", "a\nb c"]
+        want = [np.array([*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4").tobytes() for t in texts]
+        assert encoder.encode_all(texts) == want
+
+
+def test_word_hashes_tell_words_apart():
+    rng = np.random.default_rng(7)
+    words = [bytes(rng.choice(list(b"ab\0\xc3"), size=n).tolist()) for n in rng.integers(1, 20, size=400)] + [b"x" * n for n in range(1, 140)]
+    raw = b" \t" + b"\x0b\n ".join(words) + b"\r"
+    hashes = text.word_hashes(raw).tolist()
+    assert len(hashes) == len(words) and len(set(hashes)) == len(set(words)) == len(set(zip(hashes, words)))
+    assert not len(text.word_hashes(b"")) and not len(text.word_hashes(b" \n"))
+
+
 def test_benchmark_items_are_found_exact_and_edited(spark):
     rng = np.random.default_rng(4)
     word = lambda: f"w{rng.integers(5000)}"
