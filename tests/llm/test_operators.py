@@ -272,6 +272,23 @@ def test_frequent_lines_spare_copies(spark):
     assert [r.line for r in found] == [hashlib.md5(line.encode()).hexdigest()]
 
 
+def test_frequent_lines_of_long_templates_and_beside_copies(spark):
+    """A line in more than 20 different texts is found, whatever share of each text is template or copies."""
+    name = lambda n: "".join(chr(97 + int(c)) for c in str(n))
+    template = [" ".join(f"templateword{name(k)}x{name(j)}" for j in range(20)) for k in range(10)]
+    own = lambda i: " ".join(f"ownlongword{name(i)}x{name(j)}" for j in range(8))
+    rows = [(i, "h", "\n".join([*template, own(i)])) for i in range(30)]
+    line = "a line that stands in many copies of one text and in other texts"
+    rows += [(100 + i, "g", f"{line}\nthe text that is copied") for i in range(200)]
+    rows += [(400 + i, "g", f"{line}\n{own(i)}") for i in range(25)]
+    rows += [(500 + i, "f", f"{line}\n{own(i)}") for i in range(20)]  # at the limit
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    found = {(r.host, r.line, r.n_docs) for r in quality.frequent_lines(docs).collect()}
+    digest = lambda x: hashlib.md5(x.encode()).hexdigest()
+    assert found == {*(("h", digest(x), 30) for x in template), ("g", digest(line), 26)}
+    assert not any(r.kept for r in quality.judge(docs).where("source = 'h'").collect())
+
+
 def test_pipeline_equals_its_stages_by_hand(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     kept = {r.doc_id for r in quality.query(spark, SF_SMALL).collect() if r.kept}
