@@ -14,12 +14,13 @@ members still lie in different components take another hub. What is open after
 ``HUB_ROUNDS`` is compared whole: members of groups up to ``SMALL`` pair by
 pair; larger groups in cells of two blocks of ``BLOCK`` members, where one
 matrix product gives all intersections and only links between different
-components leave the task. So no link between components is lost, and no row is
-made per pair of a group. (Cells use ``CELL_BANDS`` of the bands: a linked pair
-meets in none of them with a chance under 1e-5.) Compared pairs pass the estimate from registers (less
-the matches by chance) with a margin of several standard errors, then the exact
-sizes of intersection and union of the full sets. Components are the smallest
-doc_id reachable, by label propagation with pointer jumping.
+components leave the task. Large groups of all bands are dealt to cells, and of
+those that hold the same members one. So no link between components that meet in
+a band is lost, and no row is made per pair of a group. Pairs outside cells pass
+the estimate from registers (less the matches by chance) with a margin of several
+standard errors first, and all the exact sizes of intersection and union of the
+full sets. Components are the smallest doc_id reachable, by label propagation
+with pointer jumping.
 
 Defined results: null or wordless text has an empty set, n_shingles 0, and is
 linked with nothing; a text of 1 to 4 words is one shingle. Rows that repeat a
@@ -46,7 +47,7 @@ BUCKETS, ROWS = 128, 4
 MANTISSA = 10
 MARGIN = 0.16          # five standard errors of an estimate from 128 registers at J = 0.85
 HUB_ROUNDS = 3
-SMALL, BLOCK, CELL_BANDS = 16, 512, 16
+SMALL, BLOCK = 16, 512
 COLUMNS = 4096         # of the matrix product at once
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -233,10 +234,11 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
         if turn < HUB_ROUNDS:
             hubs = open_.where(F.col("label") != F.col("hub.label")).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
         else:  # what is still open, whole
-            many = written(open_.groupBy(F.col("band").alias("m")).agg(F.count(F.lit(1)).alias("n")), "open-sizes")
+            whole = [F.sum(F.xxhash64(F.lit(k), "node").cast("decimal(20,0)")).alias(f"members{k}") for k in (0, 1)]
+            many = written(open_.groupBy(F.col("band").alias("m")).agg(F.count(F.lit(1)).alias("n"), *whole), "open-sizes")
+            once = many.where(F.col("n") > SMALL).groupBy("n", "members0", "members1").agg(F.min("m").alias("first")).select("first")
             open_ = written(open_.join(many, F.col("band") == F.col("m")).select("band", "node", "label", "n"), "open-members")
-            large = (open_.where((F.col("n") > SMALL) & (F.pmod("band", F.lit(BUCKETS // ROWS)) < CELL_BANDS))
-                     .withColumn("blocks", F.ceil(F.col("n") / BLOCK)))
+            large = open_.join(once, F.col("band") == F.col("first"), "left_semi").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
             found = found.union(written(cells(large), "cell-links"))
             open_ = open_.where(F.col("n") <= SMALL)
             other = open_.select(F.col("band").alias("o_band"), F.col("node").alias("b"), F.col("label").alias("o_label"))
