@@ -225,6 +225,18 @@ def test_toxicity_held_out(spark):
     assert np.mean([s >= 0.5 for s in fine]) < 0.2
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    """Toxic passages behind the first 4,096 characters are learnt, and long ordinary texts calibrate the threshold."""
+    rng = np.random.default_rng(8)
+    filler = lambda n: " ".join(f"common{k}" for k in rng.integers(400, size=n))
+    bad = " ".join(f"vileword{k}" for k in range(12))
+    rows = [(i, " ".join([filler(500), *([bad] * 8 if i % 2 else []), filler(60)])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.score(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))).where("held_out").collect()
+    assert np.mean([r.predicted for r in got if r.doc_id % 2]) > 0.9
+    assert np.mean([r.predicted for r in got if r.doc_id % 2 == 0]) < 0.2
+
+
 def test_base_patterns_equal_plain_regexes():
     plain = [re.compile(p) for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
                                      r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")]

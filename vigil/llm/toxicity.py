@@ -11,11 +11,13 @@ in both); the toxic one ends in the toxic samples: the pieces of toxic training
 text whose six-byte runs stand in clearly more toxic than ordinary documents.
 Without that choice the trainer fills it with the common words of toxic text.
 
-Training uses a bounded sample: at most ``SAMPLE`` different texts of each label
-by hash of doc_id, the first ``SAMPLE_CHARS`` characters of each, only from rows
-whose crc32(doc_id) mod 5 is not 0. Two thirds make the dictionaries, the rest
-calibrates. Only text enters a score. All documents are scored whole in one pass
-without a shuffle.
+Training uses a bounded sample of whole texts: at most ``SAMPLE`` documents of each
+label by hash of doc_id, only from rows whose crc32(doc_id) mod 5 is not 0. Two
+thirds make the dictionaries, from up to ``SPANS`` spans drawn evenly from all over
+each text. The rest calibrates: their features are made of the whole texts, like
+those of scored documents, and in tasks, so the driver gets spans and features
+only. Only text enters a score. All documents are scored whole in one pass without
+a shuffle.
 
 Defined results: null, empty and wordless texts score as one empty window. With
 no rows of one label every score is 0. Repeated rows each get a result. Rows
@@ -34,7 +36,10 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SAMPLE, SAMPLE_CHARS = 2000, 4096
+from vigil.llm.text import written
+
+SAMPLE = 2000
+SPANS, SPAN = 32, 512           # of a text, for the dictionaries; a shorter text is one span
 WINDOW, OVERLAP = 48, 8         # bytes
 GRAM = 6
 MIN_Z, MIN_RATIO = 6.0, 6.0     # how clearly, and how many times, more toxic than ordinary documents hold a run
@@ -51,6 +56,13 @@ def windows(raw: bytes) -> list[bytes]:
     return [raw[i: i + WINDOW + OVERLAP] for i in range(0, max(len(raw), 1), WINDOW)]
 
 
+def spans(raw: bytes) -> list[bytes]:
+    """``SPANS`` stretches that lie evenly from a text's beginning to its end; the whole text if it is not longer."""
+    if len(raw) <= SPANS * SPAN:
+        return [raw]
+    return [raw[at: at + SPAN] for at in (i * (len(raw) - SPAN) // (SPANS - 1) for i in range(SPANS))]
+
+
 def _grams(raw: bytes) -> np.ndarray:
     a = np.frombuffer(raw, dtype=np.uint8)
     n = max(len(a) - GRAM + 1, 0)
@@ -60,10 +72,11 @@ def _grams(raw: bytes) -> np.ndarray:
     return out
 
 
-def toxic_pieces(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
-    """The toxic dictionary's own content, the most frequent piece last (the cheapest to refer to)."""
-    keys, n_toxic = np.unique(np.concatenate([np.unique(_grams(t)) for t in toxic]), return_counts=True)
-    others, n = np.unique(np.concatenate([np.unique(_grams(t)) for t in ordinary]), return_counts=True)
+def toxic_pieces(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> bytes:
+    """The toxic dictionary's own content, from the spans of each text, the most frequent piece last (the cheapest to refer to)."""
+    of_text = lambda parts: np.unique(np.concatenate([_grams(x) for x in parts]))
+    keys, n_toxic = np.unique(np.concatenate([of_text(t) for t in toxic]), return_counts=True)
+    others, n = np.unique(np.concatenate([of_text(t) for t in ordinary]), return_counts=True)
     at = np.minimum(np.searchsorted(others, keys), max(len(others) - 1, 0))
     n_ordinary = np.where(others[at] == keys, n[at], 0) if len(others) else np.zeros(len(keys), dtype=int)
     p, q = n_toxic / len(toxic), n_ordinary / len(ordinary)
@@ -71,7 +84,7 @@ def toxic_pieces(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
     ratio = (n_toxic + 0.5) / len(toxic) / ((n_ordinary + 0.5) / len(ordinary))
     chosen = keys[((p - q) / spread > MIN_Z) & (ratio > MIN_RATIO)]
     pieces: Counter = Counter()
-    for raw in toxic:
+    for raw in (x for t in toxic for x in t):
         hit = np.flatnonzero(np.isin(_grams(raw), chosen))
         if len(hit):
             edge = np.flatnonzero(np.diff(hit) > GRAM)
@@ -85,8 +98,8 @@ def toxic_pieces(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
     return b"".join(reversed(kept))
 
 
-def ordinary_content(ordinary: list[bytes]) -> bytes:
-    samples = [w for raw in ordinary for w in windows(raw)]
+def ordinary_content(ordinary: list[list[bytes]]) -> bytes:
+    samples = [w for t in ordinary for raw in t for w in windows(raw)]
     try:
         return zstandard.train_dictionary(BASE_BYTES, samples, k=64, d=8).as_bytes()
     except zstandard.ZstdError:  # too few samples
@@ -126,8 +139,9 @@ class Model:
         share = np.array([np.mean(s >= k) for k in (2, 4, 6)])
         return np.concatenate((share, np.sqrt(share), [s[0], s[:3].mean(), s.mean()]))
 
-    def calibrate(self, toxic: list[str], ordinary: list[str], steps: int = 800, rate: float = 0.3, decay: float = 1e-3) -> None:
-        x = np.array([self.features(t) for t in [*toxic, *ordinary]])
+    def calibrate(self, toxic: list, ordinary: list, steps: int = 800, rate: float = 0.3, decay: float = 1e-3) -> None:
+        """Weights from the features of whole texts of each label."""
+        x = np.array([*toxic, *ordinary])
         y = np.repeat([1.0, 0.0], [len(toxic), len(ordinary)])
         of = np.where(y == 1, 0.5 / len(toxic), 0.5 / len(ordinary))
         mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
@@ -137,7 +151,11 @@ class Model:
             gap = (y - 1 / (1 + np.exp(-(x @ w + b)))) * of
             w += rate * 4 * (x.T @ gap - decay * w)
             b += rate * 4 * gap.sum()
-        b = -np.quantile((x @ w)[y == 0], 1 - FALSE_ALARMS)  # the threshold: 0.5 at the allowed false alarms
+        # the threshold: 0.5 lies half way from the last ordinary text that must stay below it to the next higher level,
+        # since equal texts of a small sample would else be on either side by rounding
+        level = x @ w
+        below = np.sort(level[y == 0])[len(ordinary) - int(FALSE_ALARMS * len(ordinary)) - 1]
+        b = -(below + level[level > below + 1e-9].min(initial=below + 1.0)) / 2
         self.weights = np.concatenate((w / scale, [b - (w / scale) @ mean]))
 
     def score(self, text: str | None) -> float:
@@ -146,31 +164,49 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights[:-1] + self.weights[-1], -30, 30))))
 
 
-def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))
-    cut = [2 * len(x) // 3 for x in (toxic, ordinary)]
-    if min(cut) == 0:
-        return Model(b"", b"")
-    raw = [plain(t) for t in toxic[: cut[0]]], [plain(t) for t in ordinary[: cut[1]]]
-    model = Model(ordinary_content(raw[1]), toxic_pieces(*raw))
-    model.calibrate(toxic[cut[0]:], ordinary[cut[1]:])
-    return model
-
-
 def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def trained(docs: DataFrame, labels: DataFrame) -> Model:
+def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """toxic, place, calibrates and text of the sampled texts; None if a label has too few."""
     chosen = []
     for label in (1, 0):
         ids = (labels.where((F.col("toxic") == label) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("l_doc")).distinct()
                .where(~held_out(F.col("l_doc"))).orderBy(F.xxhash64("l_doc"), "l_doc").limit(SAMPLE))
         rows = (docs.join(F.broadcast(ids), F.col("doc_id") == F.col("l_doc"))  # at most SAMPLE ids
-                .select(F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).where("text is not null")
-                .orderBy("h", "doc_id", "text").limit(2 * SAMPLE).collect())
-        chosen.append([r.text for r in rows])
-    return fit(*chosen)
+                .where("text is not null").select(F.xxhash64("doc_id").alias("h"), "doc_id", F.md5("text").alias("print"))
+                .orderBy("h", "doc_id", "print").limit(2 * SAMPLE).collect())
+        first = {}
+        for r in rows:
+            first.setdefault(r.print, r.doc_id)
+        cut = 2 * len(first) // 3
+        if cut == 0:
+            return None
+        chosen += [(label, place, place >= cut, doc, mark) for place, (mark, doc) in enumerate(first.items())]
+    chosen = docs.sparkSession.createDataFrame(chosen, "toxic int, place int, calibrates boolean, c_doc long, c_print string")
+    rows = docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("c_doc")) & (F.md5("text") == F.col("c_print")))
+    return written(rows.select("toxic", "place", "calibrates", "text").dropDuplicates(["toxic", "place"]), "toxic-sample")
+
+
+def trained(docs: DataFrame, labels: DataFrame) -> Model:
+    sample = _sample(docs, labels)
+    if sample is None:
+        return Model(b"", b"")
+
+    def made(rows: DataFrame, f, kind: str) -> list[list]:
+        """``f`` of the texts of each label, in the order of their places."""
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                values = pa.array([f(t) for t in batch["text"].to_pylist()], pa.list_(pa.binary() if kind == "binary" else pa.float64()))
+                yield pa.RecordBatch.from_arrays([batch["toxic"], batch["place"], values], ["toxic", "place", "value"])
+        got = sorted(rows.mapInArrow(scan, f"toxic int, place int, value array<{kind}>").collect(), key=lambda r: r.place)
+        return [[r.value for r in got if r.toxic == label] for label in (1, 0)]
+
+    raw = [[[bytes(x) for x in t] for t in texts] for texts in made(sample.where("not calibrates"), lambda t: spans(plain(t)), "binary")]
+    model = Model(ordinary_content(raw[1]), toxic_pieces(*raw))
+    model.calibrate(*made(sample.where("calibrates"), lambda t: model.features(t).tolist(), "double"))
+    return model
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
