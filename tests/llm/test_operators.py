@@ -276,6 +276,24 @@ def test_html_extraction_and_differencing(spark):
     assert html_text.difference(["s", "same"], ["s", "same"]) == ["s", "same"]  # copies
 
 
+def test_html_differencing_over_borders_and_of_long_templates(spark):
+    """Every page of a host loses its template, however pages are partitioned and however long the template is; copies stay whole."""
+    template = "".join(f"<div>line {k} of the long template of this site</div>" for k in range(20))
+    rows = [(i, f"http://{h}/p{i:03}", f"{template}<div>own text {i}</div>") for h, ids in (("a", range(40)), ("b", range(40, 43))) for i in ids]
+    rows += [(100 + i, f"http://c/p{i}", f"{template}<div>{'the one article' if i < 2 else f'other {i}'}</div>") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {**{i: f"own text {i}" for i in range(43)}, 100: "the one article", 101: "the one article", 102: "other 2", 103: "other 3"}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "8", "60"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            assert {r.page_id: r.text for r in html_text.extract(pages).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_url_rules_edges(spark):
     urls = [(1, None, 9), (2, "no scheme", 9), (3, "http://WWW.example.COM/en/x?q", 9), (4, "http://a.example.com/en/", 9), (5, "http://x.net/es/1#t", 9),
             (6, "http://x.net", 9), (7, "http://example.com/de/", 9), (7, "http://example.com/de/", 9)]
