@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontaminate, html_text, mixing, near_dedup, personal_data, quality, substring_dedup, token_files, toxicity, url_filter
+from vigil.llm import (decontaminate, html_text, mixing, near_dedup, personal_data, pieces, quality, structure, substring_dedup, token_files,
+                       toxicity, trie, url_filter)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -15,10 +16,15 @@ QUERIES = {
     "op8_quality_rules": quality.query,
     "op9_url_filter": url_filter.query,
     "op10_substring_dedup": substring_dedup.query,
+    "op11_prefix_trie": trie.query,
+    "op12_sentencepiece": pieces.query,
+    "op13_structure_repair": structure.query,
 }
 ORACLE = {
     "op3_near_dedup": near_dedup.ORACLE,
     "op8_quality_rules": quality.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
+    "op13_structure_repair": structure.ORACLE,
 }
