@@ -28,28 +28,21 @@ def test_global_rank_matches_sort(data, parts):
     assert list(got.pos) == list(range(len(pdf)))
 
 
-@pytest.mark.parametrize("method", ["agg", "distributed"])
-def test_exact_quantiles_match_numpy(data, method):
-    pdf, df = data
-    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.95, 0.99, 1.0]
-    got = R.exact_quantiles(df, ["x", "t"], probs, method=method)[()]
-    np.testing.assert_allclose(got["x"], np.nanpercentile(pdf.x, [p * 100 for p in probs]), rtol=1e-12)
-    np.testing.assert_allclose(got["t"], np.percentile(pdf.t, [p * 100 for p in probs]), rtol=1e-12)
-
-
-def test_grouped_quantiles_distributed(data):
-    pdf, df = data
-    got = R.exact_quantiles(df, ["x"], [0.5, 0.95], by=["y"], method="distributed")
-    for g, sub in pdf.groupby("y"):
-        np.testing.assert_allclose(got[(g,)]["x"], np.nanpercentile(sub.x, [50, 95]), rtol=1e-12)
-
-
 def _auc_bruteforce(s, y):
     pos, neg = s[y == 1], s[y == 0]
     wins = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
     return wins / (len(pos) * len(neg))
 
 
+def test_global_rank_and_prefix_sums_keep_null_longs(spark):
+    big = 2**62 + 1
+    df = spark.createDataFrame([(i, None if i % 3 else big + i, float(i)) for i in range(50)], "row_id long, other long, w double")
+    for got in (R.global_rank(df, ["row_id"], "pos", 4), R.prefix_sums(df, ["row_id"], {"pos": "w"}, 4)):
+        assert got.schema["other"].dataType.simpleString() == "bigint"
+        assert {r.row_id: r.other for r in got.collect()} == {i: None if i % 3 else big + i for i in range(50)}
+    assert {r.row_id: r.pos for r in got.collect()} == {i: i * (i - 1) / 2 for i in range(50)}
+
+
 def test_auc_exact_with_ties(data):
     pdf, df = data
     sub = pdf.dropna()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.exprs import clip_range, clip_upper, nan_to_null
-from vigil.operators.rank import exact_quantiles
+from vigil.operators.select import exact_quantiles
 
 # fixed values: cleaning constants of the reference
 V_COLUMNS = [f"v{i}" for i in range(1, 29)]

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.rank import exact_quantiles, prefix_sums
+from vigil.operators.rank import prefix_sums
+from vigil.operators.select import exact_quantiles
 
 SWEEP = [50, 75, 80, 85, 90, 92, 94, 95, 96, 97, 98, 99]  # fixed values: percentile sweep
 

@@ -28,13 +28,14 @@ from vigil.functions import interact as int_f
 from vigil.functions import risk as risk_f
 from vigil.functions import temporal as tmp_f
 from vigil.functions.clean import V_COLUMNS, is_card
-from vigil.operators.rank import exact_quantiles
-from vigil.session import apply_wide_plan_conf
+from vigil.operators.select import exact_quantiles, quantile_table
+from vigil.session import apply_wide_plan_conf, checkpoint
 
 GROUPS = ("amount", "temporal", "customer", "behavioral", "velocity", "interaction", "risk")
 PROBS = [0.25, 0.5, 0.75, 0.9, 0.95]
 MAX_CATEGORIES = 100_000   # encodings beyond this are joined without a broadcast
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BATCHES = 10_000  # of about 60 numbers each
 DROP_CATEGORICAL = ["payment_method", "product_category", "device_used", "age_group", "customer_location"]
 DROP_DATES = ["timestamp", "transaction_date"]
 TARGET = "is_fraudulent"
@@ -81,8 +82,8 @@ class FeatureModel:
         encodings = _fit_encodings(train, card, self.groups)
         fitted = FittedFeatures(self, params, encodings)
         if self.batch_stats == "fitted" and card:
-            fitted.fitted_batch = _batch_stats(fitted._pre_risk(train.withColumn(BATCH, F.lit(0))), V_COLUMNS,
-                                               train.columns)[0]
+            stats = _batch_stats(fitted._pre_risk(train.withColumn(BATCH, F.lit(0))), V_COLUMNS, train.columns).drop(BATCH).first()
+            fitted.fitted_batch = stats.asDict() if stats else {}
         return fitted
 
 
@@ -149,21 +150,12 @@ ENC_SCHEMA = T.StructType([
     T.StructField("share", T.DoubleType()), T.StructField("fraud_rate", T.DoubleType())])
 
 
-def _batch_stats(df: DataFrame, vs_all, cols) -> dict:
-    """Per-batch mean / sample std of each v and the batch q95 of the v mean / std."""
+def _batch_stats(df: DataFrame, vs_all, cols) -> DataFrame:
+    """Per batch (``BATCH``): mean and sample std of each v, and the q95 of the v mean and std."""
     vs = [v for v in vs_all if v in cols]
-    extra = {}
-    for v in vs:
-        extra[f"mean_{v}"] = F.avg(v)
-        extra[f"std_{v}"] = F.stddev_samp(v)
-    q = exact_quantiles(df, ["v_features_mean", "v_features_std"], [0.95], by=[BATCH], extra=extra)
-    out = {}
-    for (b,), res in q.items():
-        d = dict(res.get("extra", {}))
-        d["q95_v_mean"] = res.get("v_features_mean", [None])[0]
-        d["q95_v_std"] = res.get("v_features_std", [None])[0]
-        out[b] = d
-    return out
+    moments = {f"{name}_{v}": f(v) for v in vs for name, f in (("mean", F.avg), ("std", F.stddev_samp))}
+    q = quantile_table(df, ["v_features_mean", "v_features_std"], [0.95], by=[BATCH], extra=moments)
+    return q.withColumns({"q95_v_mean": F.col("v_features_mean")[0], "q95_v_std": F.col("v_features_std")[0]}).drop("v_features_mean", "v_features_std")
 
 
 @dataclass
@@ -283,17 +275,16 @@ class FittedFeatures:
             return df.withColumn("comprehensive_risk_score", risk_f.card_score(vs, {})).withColumns(
                 risk_f.bands())
         if self.fitted_batch is not None:
-            stats = {0: self.fitted_batch}
-            df = df.withColumn(BATCH, F.lit(0))
+            names = list(self.fitted_batch)
+            df = df.withColumns({f"_bs_{n}": F.lit(v).cast("double") for n, v in self.fitted_batch.items()})
         else:
             stats = _batch_stats(df, vs, df.columns)
-        names = sorted(next(iter(stats.values())).keys()) if stats else []
-        schema = T.StructType([df.schema[BATCH]] + [T.StructField(n, T.DoubleType()) for n in names])
-        rows = [(b, *[None if s.get(n) is None else float(s[n]) for n in names]) for b, s in stats.items()]
-        # One row per batch (counted above), so the broadcast is bounded.
-        sdf = F.broadcast(df.sparkSession.createDataFrame(rows, schema).toDF(
-            BATCH, *[f"_bs_{n}" for n in names]))
-        df = df.join(sdf, BATCH, "left")
+            names = [c for c in stats.columns if c != BATCH]
+            rows = stats.limit(BROADCAST_BATCHES + 1).collect()
+            small = len(rows) <= BROADCAST_BATCHES  # a row per batch; computed once for all uses of the features
+            stats = df.sparkSession.createDataFrame(rows, stats.schema) if small else checkpoint(stats)
+            stats = stats.select(F.col(BATCH).alias("_bk"), *[F.col(n).alias(f"_bs_{n}") for n in names])
+            df = df.join(F.broadcast(stats) if small else stats, F.col(BATCH).eqNullSafe(F.col("_bk")), "left").drop("_bk")
         batch = {n: F.col(f"_bs_{n}") for n in names}
         df = df.withColumns(risk_f.card_risk_first(amt, p, vs, batch))
         df = df.withColumn("comprehensive_risk_score", risk_f.card_score(vs, batch)).withColumns(risk_f.bands())

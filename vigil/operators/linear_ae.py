@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.operators.rank import exact_quantiles
+from vigil.operators.select import exact_quantiles
 
 
 @dataclass

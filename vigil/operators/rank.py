@@ -1,12 +1,12 @@
 """Global order without a single partition.
 
-``prefix_sums`` is the one primitive behind ranks, exact quantiles, exact
-ROC AUC and average ranks:
+``prefix_sums`` is the primitive behind ranks, exact ROC AUC and average ranks:
 
 1. ``repartitionByRange`` on the order columns (a unique tie-break is the
    caller's job), ``sortWithinPartitions``;
-2. an Arrow-batched pass per partition computes local exclusive running
-   sums (no second shuffle);
+2. local running sums: positions come from the JVM's own row counter, weighted
+   sums from an Arrow pass that reads the weights only and hands all other columns
+   on as they are (no second shuffle);
 3. the result is checkpointed to the reliable checkpoint folder, so the
    per-partition totals and the rows they describe can never disagree after
    an executor is lost and a partition is recomputed;
@@ -20,6 +20,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,36 +28,32 @@ from pyspark.sql import types as T
 from vigil.session import checkpoint
 
 PID = "_pid"
-
-
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 60     # Catalyst's size of a leaf that it knows nothing about
+ROW_BITS = 33               # of monotonically_increasing_id: the row in its partition
 
 
 def _leaf_bytes(df: DataFrame) -> int | None:
-    """Bytes of the scanned inputs (file sizes of the plan's leaves). Catalyst's own
-    estimate for a join is the product of its sides, useless for sizing."""
-    try:
-        it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
-        total = 0
-        while it.hasNext():
-            total += int(str(it.next().stats().sizeInBytes()))
-        return total
-    except Exception:  # noqa: BLE001 - remote session or unavailable statistics
-        return None
+    """Bytes of the scanned inputs (file sizes of the plan's leaves), None if unknown. Catalyst's
+    own estimate for a join is the product of its sides, useless for sizing."""
+    it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while it.hasNext():
+        total += int(str(it.next().stats().sizeInBytes()))
+    return total if total < UNKNOWN_BYTES else None
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
-    """Range partitions: about 128 MB of input each, at least the default parallelism
-    and at most the session's ``spark.sql.shuffle.partitions`` (the cluster's scale knob)."""
+    """Range partitions: about 128 MB of input each and at least the default parallelism; where
+    the size is unknown, the session's ``spark.sql.shuffle.partitions``."""
     if n:
         return int(n)
     spark = df.sparkSession
     low = spark.sparkContext.defaultParallelism
-    high = max(low, int(spark.conf.get("spark.sql.shuffle.partitions")))
     size = _leaf_bytes(df)
     if size is None:
-        return high
-    return int(max(low, min(math.ceil(size / TARGET_PARTITION_BYTES), high)))
+        return max(low, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(low, math.ceil(size / TARGET_PARTITION_BYTES))
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -76,82 +73,54 @@ def prefix_sums_with_totals(df: DataFrame, order: Sequence[str | Column], weight
     Rows with equal order keys get an arbitrary but fixed relative order; pass a
     unique tie-break in ``order`` when that matters.
     """
-    n_parts = _num_partitions(df, num_partitions)
-    order_cols = _as_cols(order)
-    wnames = list(weights)
-    tmp = {w: f"_w_{i}" for i, w in enumerate(wnames)}
-    base = df.withColumns({tmp[w]: F.col(c) if isinstance(c, str) else c for w, c in weights.items()})
-    base = base.withColumns({tmp[w]: F.coalesce(F.col(tmp[w]).cast("double"), F.lit(0.0)) for w in wnames})
-    ranged = (base.repartitionByRange(n_parts, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn(PID, F.spark_partition_id()))
-    local_names = {w: f"_l_{i}" for i, w in enumerate(wnames)}
-    out_schema = T.StructType(ranged.schema.fields + [
-        T.StructField(local_names[w], T.DoubleType(), False) for w in wnames])
-    wcols = [tmp[w] for w in wnames]
-    lcols = [local_names[w] for w in wnames]
-
-    def local_running(batches):
-        carry = np.zeros(len(wcols))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            vals = pdf[wcols].to_numpy(dtype="float64")
-            incl = np.cumsum(vals, axis=0) + carry
-            excl = incl - vals
-            carry = incl[-1]
-            for j, name in enumerate(lcols):
-                pdf[name] = excl[:, j]
-            yield pdf
-
-    local = checkpoint(ranged.mapInPandas(local_running, out_schema))
-    totals = local.groupBy(PID).agg(*[F.sum(tmp[w]).alias(tmp[w]) for w in wnames]).collect()
-    by_pid = {r[PID]: [r[tmp[w]] or 0.0 for w in wnames] for r in totals}
-    run = [0.0] * len(wnames)
-    rows = []
+    names = list(weights)
+    tmp, local = [f"_w_{i}" for i in range(len(names))], [f"_l_{i}" for i in range(len(names))]
+    base = df.withColumns({t: F.coalesce((F.col(w) if isinstance(w, str) else w).cast("double"), F.lit(0.0)) for t, w in zip(tmp, weights.values())})
+    ranged = _ranged(base, order, num_partitions).withColumn(PID, F.spark_partition_id())
+    schema = T.StructType(ranged.schema.fields + [T.StructField(c, T.DoubleType(), False) for c in local])
+
+    def running(batches):
+        carry = np.zeros(len(names))
+        for batch in batches:
+            if batch.num_rows:
+                values = np.column_stack([batch.column(t).to_numpy() for t in tmp])
+                sums = np.cumsum(values, axis=0) + carry
+                carry = sums[-1]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, (sums - values).T)], [*batch.schema.names, *local])
+
+    done = checkpoint(ranged.mapInArrow(running, schema))
+    totals = done.groupBy(PID).agg(*[F.sum(t).alias(t) for t in tmp])
+    placed, run = _with_offsets(done, totals, tmp)
+    res = placed.withColumns({n: F.col(f"_o_{t}") + F.col(c) for n, t, c in zip(names, tmp, local)})
+    return res.drop(PID, *tmp, *local, *(f"_o_{t}" for t in tmp)), run
+
+
+def _ranged(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+    cols = _as_cols(order)
+    return df.repartitionByRange(_num_partitions(df, num_partitions), *cols).sortWithinPartitions(*cols)
+
+
+def _with_offsets(rows: DataFrame, totals: DataFrame, names: Sequence[str]) -> tuple[DataFrame, list]:
+    """``rows`` with ``_o_<name>``: the totals of all partitions before; and the grand totals."""
+    by_pid = {r[PID]: [r[n] or 0 for n in names] for r in totals.collect()}  # one row per range partition
+    run: list = [0.0 if isinstance(totals.schema[n].dataType, T.DoubleType) else 0 for n in names]
+    offsets = []
     for pid in sorted(by_pid):
-        rows.append((pid, *run))
+        offsets.append((pid, *run))
         run = [a + b for a, b in zip(run, by_pid[pid])]
-    off_names = [f"_o_{i}" for i in range(len(wnames))]
-    offsets = df.sparkSession.createDataFrame(
-        rows or [(0, *([0.0] * len(wnames)))],
-        T.StructType([T.StructField(PID, T.IntegerType(), False)]
-                     + [T.StructField(o, T.DoubleType(), False) for o in off_names]))
-    # One row per range partition: bounded by n_parts, never by the data.
-    joined = local.join(F.broadcast(offsets), PID, "left")
-    res = joined.withColumns({w: F.col(off_names[i]) + F.col(local_names[w]) for i, w in enumerate(wnames)})
-    return res.drop(PID, *off_names, *lcols, *wcols), run
+    schema = T.StructType([T.StructField(PID, T.IntegerType(), False)] + [T.StructField(f"_o_{n}", totals.schema[n].dataType) for n in names])
+    return rows.join(F.broadcast(rows.sparkSession.createDataFrame(offsets, schema)), PID, "left"), run
 
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
-    """0-based position of each row in the global order (``order`` must be unique)."""
-    res = prefix_sums(df, order, {name: F.lit(1.0)}, num_partitions)
-    return res.withColumn(name, F.col(name).cast("long"))
-
-
-def rows_at_cuts(df: DataFrame, order: Sequence[str], cuts, key_cols: Sequence[str],
-                 num_partitions: int | None = None) -> tuple[int, dict[int, tuple]]:
-    """Rank once; ``cuts(n)`` turns the row count into positions; return (n, keys at them)."""
-    ranked, totals = prefix_sums_with_totals(df.select(*key_cols), order, {"_pos": F.lit(1.0)}, num_partitions)
-    n = int(totals[0])
-    wanted = sorted({int(p) for p in cuts(n) if 0 <= p < n})
-    if not wanted:
-        return n, {}
-    hit = ranked.where(F.col("_pos").isin([float(w) for w in wanted])).collect()  # len(wanted) rows
-    return n, {int(r["_pos"]): tuple(r[k] for k in key_cols) for r in hit}
-
-
-def rows_at(df: DataFrame, order: Sequence[str], positions: Sequence[int], key_cols: Sequence[str],
-            num_partitions: int | None = None) -> dict[int, tuple]:
-    """Key values of the rows at the given 0-based positions (order must be unique)."""
-    wanted = sorted({int(p) for p in positions})
-    if not wanted:
-        return {}
-    keyed = df.select(*key_cols)
-    ranked = global_rank(keyed, order, "_pos", num_partitions)
-    hit = ranked.where(F.col("_pos").isin(wanted)).collect()  # at most len(positions) rows
-    return {int(r["_pos"]): tuple(r[k] for k in key_cols) for r in hit}
+    """0-based position of each row in the global order (``order`` must be unique). All in the JVM, so
+    columns keep their types and nulls."""
+    ranged = _ranged(df, order, num_partitions).withColumn("_id", F.monotonically_increasing_id())
+    at = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    done = checkpoint(ranged.withColumns({PID: F.shiftright("_id", ROW_BITS).cast("int"), "_at": at}).drop("_id"))
+    placed, _ = _with_offsets(done, done.groupBy(PID).agg(F.count(F.lit(1)).alias("_n")), ["_n"])
+    return placed.withColumn(name, F.col("_o__n") + F.col("_at")).drop(PID, "_at", "_o__n")
 
 
 def key_literal(v) -> Column:
@@ -174,152 +143,6 @@ def before_key(cols: Sequence[str], key: tuple | None) -> Column:
     return cond
 
 
-# ---------------------------------------------------------------------------
-# Exact quantiles (linear interpolation between order statistics)
-# ---------------------------------------------------------------------------
-
-EXACT_BUFFER_LIMIT = 1_000_000  # distinct values one aggregate buffer may hold
-SMALL_INPUT_BYTES = 256 * 1024 * 1024  # inputs this small bound the buffer by themselves
-MAX_GROUPS = 100_000
-
-
-def _interp(lo: float, hi: float, frac: float) -> float:
-    return lo + (hi - lo) * frac
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), method: str = "auto",
-                    num_partitions: int | None = None, extra: dict | None = None) -> dict:
-    """Exact linear-interpolated quantiles (numpy ``percentile`` / SQL ``quantile_cont``).
-
-    Returns ``{group_tuple: {col: [q for q in probs]}}`` (``()`` when ungrouped);
-    nulls are ignored, an all-null column yields ``None``. ``extra`` (name -> aggregate
-    Column) is evaluated in the same pass; its values appear under the key ``"extra"``.
-
-    ``method="auto"`` measures the distinct count first: below
-    ``EXACT_BUFFER_LIMIT`` a single ``percentile`` aggregate is used (its
-    buffer is a value->count map, bounded by that check); above it the
-    order statistics are located with ``prefix_sums`` over distinct values,
-    which never gathers a column into one task.
-    """
-    by = list(by)
-    cols = list(cols)
-    probs = [float(p) for p in probs]
-    small = _leaf_bytes(df)
-    extra = dict(extra or {})
-    if method == "auto" and small is not None and small <= SMALL_INPUT_BYTES:
-        # The scanned input bounds the distinct values of any column: skip the pre-pass.
-        return _quantiles_agg(df, cols, probs, by, extra)
-    aggs = [e.alias(f"_x_{k}") for k, e in extra.items()]
-    for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"_n{i}"), F.approx_count_distinct(c).alias(f"_d{i}")]
-    stats = (df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)).limit(MAX_GROUPS + 1).collect()
-    if len(stats) > MAX_GROUPS:
-        raise ValueError("too many groups for a quantile parameter table")
-    counts = {tuple(r[b] for b in by): [r[f"_n{i}"] for i in range(len(cols))] for r in stats}
-    max_distinct = max([r[f"_d{i}"] for r in stats for i in range(len(cols))] or [0])
-    extras = {tuple(r[b] for b in by): {k: r[f"_x_{k}"] for k in extra} for r in stats}
-    use_agg = method == "agg" or (method == "auto" and max_distinct <= EXACT_BUFFER_LIMIT)
-    if use_agg:
-        out = _quantiles_agg(df, cols, probs, by, {})
-    else:
-        out = _quantiles_distributed(df, cols, probs, by, counts, num_partitions)
-    for g, vals in extras.items():
-        out.setdefault(g, {})["extra"] = vals
-    return out
-
-
-def _quantiles_agg(df: DataFrame, cols, probs, by, extra: dict | None = None) -> dict:
-    extra = extra or {}
-    parr = F.array(*[F.lit(p) for p in probs])
-    qaggs = [F.percentile(F.col(c).cast("double"), parr).alias(f"_q{i}") for i, c in enumerate(cols)]
-    qaggs += [e.alias(f"_x_{k}") for k, e in extra.items()]
-    res = (df.groupBy(*by).agg(*qaggs) if by else df.agg(*qaggs)).limit(MAX_GROUPS + 1).collect()
-    if len(res) > MAX_GROUPS:
-        raise ValueError("too many groups for a quantile parameter table")
-    out: dict = {}
-    for r in res:
-        g = tuple(r[b] for b in by)
-        out[g] = {c: (list(r[f"_q{i}"]) if r[f"_q{i}"] is not None else [None] * len(probs))
-                  for i, c in enumerate(cols)}
-        if extra:
-            out[g]["extra"] = {k: r[f"_x_{k}"] for k in extra}
-    if not by:
-        out.setdefault((), {c: [None] * len(probs) for c in cols})
-        _snap_to_data(df, cols, out[()])
-    return out
-
-
-def _snap_to_data(df: DataFrame, cols, res: dict) -> None:
-    """``percentile`` interpolates as ``(h-p)*lo + (p-l)*hi``, which can miss a tied
-    value by one ulp; snap to the nearest data value when within rounding distance
-    (``lo + (hi-lo)*frac`` then returns that value exactly)."""
-    aggs, keys = [], []
-    for i, c in enumerate(cols):
-        for j, r in enumerate(res.get(c, [])):
-            if r is None:
-                continue
-            x = F.col(c).cast("double")
-            aggs.append(F.min_by(x, F.abs(x - F.lit(r))).alias(f"_s{i}_{j}"))
-            keys.append((c, j, f"_s{i}_{j}"))
-    if not aggs:
-        return
-    row = df.agg(*aggs).first()
-    for c, j, k in keys:
-        v, r = row[k], res[c][j]
-        if v is not None and abs(v - r) <= 1e-12 * max(1.0, abs(v)):
-            res[c][j] = v
-
-
-def _quantiles_distributed(df, cols, probs, by, counts, num_partitions):
-    stacked = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)
-    ])).alias("_s")).select(*by, "_s._c", "_s._v").where(F.col("_v").isNotNull())
-    # Hot values collapse here (partial aggregation before the shuffle).
-    vc = stacked.groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    pre = prefix_sums(vc, [*by, "_c", "_v"], {"_cum": "_cnt"}, num_partitions)
-    start = pre.groupBy(*by, "_c").agg(F.min("_cum").alias("_start"))
-    local = pre.join(start, [*by, "_c"]).withColumn("_lc", F.col("_cum") - F.col("_start"))
-    target_rows = []
-    for g, ns in counts.items():
-        for i, n in enumerate(ns):
-            if not n:
-                continue
-            for p in probs:
-                pos = p * (n - 1)
-                target_rows.append((*g, i, float(math.floor(pos))))
-                target_rows.append((*g, i, float(math.ceil(pos))))
-    out = {g: {c: [None] * len(probs) for c in cols} for g in counts}
-    if not target_rows:
-        return out
-    schema = T.StructType([df.schema[b] for b in by] + [
-        T.StructField("_c", T.IntegerType(), False), T.StructField("_r", T.DoubleType(), False)])
-    targets = df.sparkSession.createDataFrame(sorted(set(target_rows)), schema)
-    # Targets: 2 * groups * columns * probs rows (bounded by MAX_GROUPS).
-    hits = (local.join(F.broadcast(targets), [*by, "_c"])
-            .where((F.col("_r") >= F.col("_lc")) & (F.col("_r") < F.col("_lc") + F.col("_cnt")))
-            .select(*by, "_c", "_r", "_v").collect())
-    found = {(tuple(r[b] for b in by), r["_c"], r["_r"]): r["_v"] for r in hits}
-    for g, ns in counts.items():
-        for i, n in enumerate(ns):
-            if not n:
-                continue
-            vals = []
-            for p in probs:
-                pos = p * (n - 1)
-                lo = found[(g, i, float(math.floor(pos)))]
-                hi = found[(g, i, float(math.ceil(pos)))]
-                vals.append(_interp(lo, hi, pos - math.floor(pos)))
-            out[g][cols[i]] = vals
-    return out
-
-
-def quantile_map(df: DataFrame, col: str, probs: Sequence[float], method: str = "auto") -> dict[float, float]:
-    res = exact_quantiles(df, [col], probs, method=method)
-    vals = res.get((), {}).get(col, [None] * len(probs))
-    return dict(zip([float(p) for p in probs], vals))
-
-
 def average_rank(df: DataFrame, col: str, name: str = "avg_rank",
                  num_partitions: int | None = None) -> DataFrame:
     """Average (ties-averaged) 1-based rank of ``col`` as a table ``(col, name, n)``.

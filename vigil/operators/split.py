@@ -1,9 +1,8 @@
 """Time-ordered splits, exact-count sampling and label shuffles.
 
-A split never numbers every row through one partition: the rows at the cut
-positions are located with the global-rank primitive on the key columns only,
-and the split becomes a pure projection comparing each row's key with the
-cut keys (a range predicate Parquet can prune on).
+A split never sorts or numbers the rows: the keys at the cut positions are found
+by exact selection on the key columns, and the split is a projection that compares
+each row's key with the cut keys.
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.rank import before_key, global_rank, rows_at, rows_at_cuts
+from vigil.operators.rank import before_key, global_rank
+from vigil.operators.select import rows_at
 
 TIME_ORDER = ("transaction_date", "row_id")
 
@@ -32,7 +32,7 @@ def split_column(df: DataFrame, ratios: Sequence[float], labels: Sequence[str],
     """Label each row by its position in ``order`` (unique): first ``int(r0*n)`` rows get
     ``labels[0]``, the next ``int(r1*n)`` ``labels[1]``, ..., the rest ``labels[-1]``."""
     order = list(order)
-    n, keys = rows_at_cuts(df, order, lambda n: cut_sizes(n, ratios), order)
+    n, keys = rows_at(df, order, lambda n: cut_sizes(n, ratios))
     cuts = cut_sizes(n, ratios)
     expr = None
     for cut, label in zip(cuts, labels):
@@ -55,12 +55,10 @@ def split_2way(df: DataFrame, train: float = 0.8, order=TIME_ORDER) -> DataFrame
 def tail_rows(df: DataFrame, frac: float = 0.2, order=TIME_ORDER, name: str = "is_tail") -> DataFrame:
     """C4: flag the last ``int(frac * n)`` rows in order with 1."""
     order = list(order)
-    n = df.count()
-    head = n - int(frac * n)
-    if head >= n:
+    _, keys = rows_at(df, order, lambda n: [n - int(frac * n)])
+    if not keys:  # no tail
         return df.withColumn(name, F.lit(0))
-    key = rows_at(df, order, [head], order).get(head)
-    return df.withColumn(name, (~before_key(order, key)).cast("int"))
+    return df.withColumn(name, (~before_key(order, next(iter(keys.values())))).cast("int"))
 
 
 def hash_key(key: str, seed: int) -> F.Column:
@@ -69,13 +67,9 @@ def hash_key(key: str, seed: int) -> F.Column:
 
 def sample_exact(df: DataFrame, frac: float, seed: int = 42, key: str = "row_id") -> DataFrame:
     """Exactly ``int(n * frac)`` rows, chosen by a seeded hash order (no driver collect)."""
-    n = df.count()
-    k = int(n * frac)
     h = df.withColumn("_h", hash_key(key, seed))
-    if k >= n:
-        return h.drop("_h")
-    at = rows_at(h, ["_h", key], [k], ["_h", key])
-    return h.where(before_key(["_h", key], at.get(k))).drop("_h")
+    _, keys = rows_at(h, ["_h", key], lambda n: [int(n * frac)])
+    return h.where(before_key(["_h", key], next(iter(keys.values()), None))).drop("_h")
 
 
 def shuffle_labels(df: DataFrame, label: str, seed: int = 42, key: str = "row_id",

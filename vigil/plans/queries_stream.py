@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.clean import card_clean_params, clean
 from vigil.operators.evaluate import predict, threshold_at
-from vigil.operators.rank import quantile_map
+from vigil.operators.select import quantile_map
 from vigil.operators.split import split_2way
 from vigil.plans.common import rounded
 from vigil.sources.fixtures import card
