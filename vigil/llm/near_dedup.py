@@ -33,13 +33,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.text import WordHashes, mix, shingle_hashes, written
+from vigil.llm.text import mix, shingle_hashes, word_hashes, written
 
 SHINGLE = 5
 PERCENT = 85           # 100 * intersection >= PERCENT * union
@@ -49,12 +49,22 @@ MARGIN = 0.16          # five standard errors of an estimate from 128 registers
 HUB_ROUNDS = 3
 SMALL, BLOCK = 16, 512
 COLUMNS = 4096         # of the matrix product at once
+ROWS_AT_ONCE, BYTES_AT_ONCE = 512, 1 << 20  # texts whose sets are made at once
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes."""
-    return np.unique(shingle_hashes(hashes.of((text or "").encode().translate(LOWER).split()), SHINGLE))
+    return np.unique(shingle_hashes(word_hashes((text or "").encode().translate(LOWER)), SHINGLE))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ROWS_AT_ONCE rows and about BYTES_AT_ONCE of text."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy().astype(np.int64)
+        part = np.maximum(np.cumsum(sizes) // BYTES_AT_ONCE, np.arange(len(sizes)) // ROWS_AT_ONCE)
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+        yield from (batch.slice(lo, hi - lo) for lo, hi in zip(edges, edges[1:]) if hi > lo)
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -84,15 +94,15 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512)
-            sets = [shingle_set(t, hashes) for t in part["text"].to_pylist()]
-            marks = np.array([list(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), dtype=np.int64)) for s in sets], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(marks[:, 0]), pa.array(marks[:, 1]),
-                 pa.array([registers(s).tobytes() for s in sets], pa.binary())], ["doc_id", "n_shingles", "h1", "h2", "registers"])
+    for part in _slices(batches):
+        found = []
+        for text in part["text"].to_pylist():
+            s = shingle_set(text)
+            found.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), registers(s).tobytes()))
+        sizes, marks, regs = zip(*found)
+        marks = np.frombuffer(b"".join(marks), dtype=np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes, pa.int64()), pa.array(marks[:, 0]), pa.array(marks[:, 1]), pa.array(regs, pa.binary())],
+                                         ["doc_id", "n_shingles", "h1", "h2", "registers"])
 
 
 def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,12 +126,8 @@ def _likely_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([shingle_set(t, hashes).tobytes() for t in part["text"].to_pylist()], pa.binary())],
-                                             ["node", "shingles"])
+    for part in _slices(batches):
+        yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([shingle_set(t).tobytes() for t in part["text"].to_pylist()], pa.binary())], ["node", "shingles"])
 
 
 def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,11 +140,12 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _cell_links(cell: pd.DataFrame) -> pd.DataFrame:
+def _cell_links(cell: pa.Table) -> pa.Table:
     """Links between different components among the members of one cell, enough to connect them."""
-    cell = cell.drop_duplicates("node")
-    nodes, labels = cell["node"].to_numpy(), cell["label"].to_numpy()
-    sets = [np.frombuffer(x, dtype=np.uint64) for x in cell["shingles"]]
+    nodes, first = np.unique(cell["node"].to_numpy(), return_index=True)
+    cell = cell.take(pa.array(first))
+    labels = cell["label"].to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in cell["shingles"]]
     sizes = np.array([len(x) for x in sets])
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     both = np.full((len(sets), len(sets)), float((times == len(sets)).sum()), dtype=np.float64)
@@ -168,7 +175,8 @@ def _cell_links(cell: pd.DataFrame) -> pd.DataFrame:
         if x != y:
             root[x] = y
             out.append((nodes[i], nodes[j]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    a, b = zip(*out) if out else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -218,7 +226,7 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
         rows = rows.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "label")
         sets = sets_of(members).select(F.col("node").alias("ns"), "shingles")
         return (rows.join(sets, F.col("node") == F.col("ns")).groupBy("band", "lo", "hi")
-                .applyInPandas(lambda cell: _cell_links(cell), "a long, b long").distinct())
+                .applyInArrow(lambda cell: _cell_links(cell), "a long, b long").distinct())
 
     spark = docs.sparkSession
     found = spark.createDataFrame([], "a long, b long")
