@@ -9,6 +9,10 @@ from vigil.llm import decontaminate, mixing, near_dedup, quality, token_files
 from vigil.llm.text import written
 
 
+#: names of columns within a stage, reserved so that the documents' own columns pass through
+KEPT, ROW = "__stage_kept", "__stage_row"
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality.judge(docs).where("kept").select(docs.columns)
@@ -16,10 +20,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates (one row of repeated rows)."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(KEPT)).distinct()
     # joined first, so that the window finds the rows dealt by doc_id already
-    one = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    one = one.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source"))).where("_row = 1")
+    one = docs.join(kept, F.col("doc_id") == F.col(KEPT), "left_semi")
+    one = one.withColumn(ROW, F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source"))).where(F.col(ROW) == 1)
     return one.select(docs.columns).union(docs.where("doc_id is null"))
 
 
