@@ -92,8 +92,10 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = M
     sized = sized.withColumn("bucket", F.pmod("r", F.lit(buckets)))
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     targets = source_targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, most)
+    # a source's blocks hold source_size / blocks words on average, less than a full block where the source is small
+    wanted = F.coalesce(F.round(F.try_divide(F.col("target") * F.col("blocks"), F.col("source_size"))), F.lit(0)).cast("long")
     sources = (targets.withColumn("blocks", F.ceil(F.col("source_size") / block))
-               .withColumn("slots", F.least(F.round(F.col("target") / block).cast("long"), (most * F.col("blocks")).cast("long"))))
+               .withColumn("slots", F.least(F.greatest(wanted, (F.col("target") > 0).cast("long")), (most * F.col("blocks")).cast("long"))))
     sources = written(sources.withColumn("first_slot", F.sum("slots").over(Window.orderBy("i")) - F.col("slots")), "mix-sources")
     before = F.sum("bucket_size").over(Window.partitionBy("source").orderBy("bucket")) - F.col("bucket_size")
     sums = sums.withColumn("before", before)
@@ -136,16 +138,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
             .select("doc_id", "source", "size", "source_size", "target", "taken", "r"))
 
 
+#: names of columns within the operator, reserved so that an input's own columns pass through
+DOC, ROW, TIMES = (f"__mix_{c}" for c in ("doc", "row", "times"))
+
+
 def copies(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row as often as the mix takes it: the whole part of taken / size, and one
     more with the chance of the rest (decided by the row's hash), so that sums keep their expectation."""
     seed = options.get("seed", SEED)
     ratio = F.col("taken") / F.greatest(F.col("size"), F.lit(1))
     chance = F.pmod(F.xxhash64(F.lit(seed + 2), "r"), F.lit(1 << 30)) / (1 << 30)
-    wanted = (mix(docs, **options).groupBy(F.col("doc_id").alias("m_doc"), F.col("r").alias("m_r"))
-              .agg(F.max(F.floor(ratio + chance)).cast("int").alias("n")).where("n > 0"))
-    return (docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("m_doc")) & (F.xxhash64(F.lit(seed), "doc_id", "text") == F.col("m_r")))
-            .withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("n", "m_doc", "m_r"))
+    wanted = (mix(docs, **options).groupBy(F.col("doc_id").alias(DOC), F.col("r").alias(ROW))
+              .agg(F.max(F.floor(ratio + chance)).cast("int").alias(TIMES)).where(f"{TIMES} > 0"))
+    return (docs.join(wanted, F.col("doc_id").eqNullSafe(F.col(DOC)) & (F.xxhash64(F.lit(seed), "doc_id", "text") == F.col(ROW)))
+            .withColumn(TIMES, F.explode(F.sequence(F.lit(1), F.col(TIMES)))).drop(DOC, ROW, TIMES))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,14 +79,14 @@ def base_measures(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
-    return (docs.withColumn("_words", words_of(F.col("text")))
-            .withColumn("n_words", F.size("_words").cast("long"))
-            .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
+    return (docs.withColumn("__quality_words", words_of(F.col("text")))
+            .withColumn("n_words", F.size("__quality_words").cast("long"))
+            .withColumn("word_chars", F.length(F.array_join("__quality_words", "")).cast("long"))
             .withColumn("n_symbols", F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"))
             .withColumn("n_dup_lines", _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-            .withColumn("n_repeat_words", repeat_words(F.col("_words")))
+            .withColumn("n_repeat_words", repeat_words(F.col("__quality_words")))
             .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-            .drop("_words"))
+            .drop("__quality_words"))
 
 
 def normal_lines(text: Column) -> Column:
@@ -105,26 +105,28 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
             .groupBy("host", "line").agg(F.count("one").alias("n_docs")).where(F.col("n_docs") > max_docs))
 
 
+#: names of columns within the operator, reserved so that an input's own columns pass through
+DOC, SOURCE, PRINT, OWN = (f"__quality_{c}" for c in ("doc", "source", "print", "own"))
 RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_boilerplate_words", "base_failed", "kept")
 
 
 def judge(docs: DataFrame, max_docs: int = MAX_DOCS, min_kept_share: float = MIN_KEPT_SHARE) -> DataFrame:
     """``docs`` with the base measures, n_boilerplate_words and kept."""
-    docs = docs.drop(*RESULT, "_words")
+    docs = docs.drop(*RESULT)
     often = frequent_lines(docs, max_docs).select(F.col("host").alias("often_host"), F.col("line").alias("often_line"))
     print_ = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    places = docs.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), print_.alias("p"), "text")
-    places = places.select("d", "s", "p", F.posexplode(normal_lines(F.col("text"))).alias("at", "line"))
-    places = places.select("d", "s", "p", "at", F.md5("line").alias("line"), F.size(F.split("line", " ")).alias("n"))
-    removed = (places.join(often, F.col("s").eqNullSafe(F.col("often_host")) & (F.col("line") == F.col("often_line")))
-               .groupBy("d", "s", "p", "at").agg(F.max("n").alias("n"))  # repeated rows are one here
-               .groupBy("d", "s", "p").agg(F.sum("n").alias("n_boilerplate_words")))
-    rows = base_measures(docs).withColumn("_p", print_)
-    rows = rows.join(removed, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("_p") == F.col("p")), "left")
+    places = docs.select(F.col("doc_id").alias(DOC), F.col("source").alias(SOURCE), print_.alias(PRINT), "text")
+    places = places.select(DOC, SOURCE, PRINT, F.posexplode(normal_lines(F.col("text"))).alias("at", "line"))
+    places = places.select(DOC, SOURCE, PRINT, "at", F.md5("line").alias("line"), F.size(F.split("line", " ")).alias("n"))
+    removed = (places.join(often, F.col(SOURCE).eqNullSafe(F.col("often_host")) & (F.col("line") == F.col("often_line")))
+               .groupBy(DOC, SOURCE, PRINT, "at").agg(F.max("n").alias("n"))  # repeated rows are one here
+               .groupBy(DOC, SOURCE, PRINT).agg(F.sum("n").alias("n_boilerplate_words")))
+    rows = base_measures(docs).withColumn(OWN, print_)
+    rows = rows.join(removed, F.col("doc_id").eqNullSafe(F.col(DOC)) & F.col("source").eqNullSafe(F.col(SOURCE)) & (F.col(OWN) == F.col(PRINT)), "left")
     lost = F.coalesce("n_boilerplate_words", F.lit(0)).cast("long")
     return (rows.withColumn("n_boilerplate_words", lost)
             .withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - lost >= min_kept_share * F.col("n_words")))
-            .drop("d", "s", "p", "_p"))
+            .drop(DOC, SOURCE, PRINT, OWN))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,19 +137,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,
   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-grams AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g, w[i] AS a
+grams AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
   FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
 rep AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (
   SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1) GROUP BY rid),
-sk AS (SELECT rid, min(md5(g)) AS sk FROM grams WHERE length(a) >= 8 GROUP BY rid),
 base AS (SELECT d.rid, doc_id, source, t, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars,
   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
   len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
     - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
-  coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(sk, md5(t)) AS sk FROM d LEFT JOIN rep USING (rid) LEFT JOIN sk USING (rid)),
-lines AS (SELECT rid, source, sk, trim(unnest(string_split(regexp_replace(regexp_replace(t, '[\x20\x09\x0B-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g'), chr(10))), ' ') AS line FROM base),
-often AS (SELECT coalesce(source, chr(0)) AS s, line FROM (SELECT DISTINCT rid, source, sk, line FROM lines WHERE line <> '')
-  GROUP BY source, line HAVING count(*) > 20 AND count(DISTINCT sk) >= 0.25 * count(*)),
+  coalesce(n_repeat_words, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (rid)),
+lines AS (SELECT rid, source, md5(t) AS print, trim(unnest(string_split(regexp_replace(regexp_replace(t, '[\x20\x09\x0B-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g'), chr(10))), ' ') AS line FROM base),
+often AS (SELECT coalesce(source, chr(0)) AS s, line FROM lines WHERE line <> ''
+  GROUP BY source, line HAVING count(DISTINCT print) > 20),
 lost AS (SELECT rid, sum(len(string_split(l.line, ' '))) AS n FROM lines l JOIN often o ON coalesce(l.source, chr(0)) = o.s AND l.line = o.line GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,

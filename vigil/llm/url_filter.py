@@ -45,6 +45,10 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.createDataFrame(list(rules), "host string, path string, verdict string")
 
 
+#: names of columns within the operator, reserved so that an input's own columns pass through
+BEST, HOST, PATH = (f"__url_{c}" for c in ("best", "host", "path"))
+
+
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with host, path, rule (null if none fits) and verdict."""
     rules = (rules.where("host <> '' and (path = '' or path like '/%')")
@@ -69,12 +73,12 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
             .withColumn("seen_short", F.substring("seen_digest", 1, SHORT)))
     best = (seen.join(rules, (F.col("seen_short") == F.col("short")) & (F.col("seen_digest") == F.col("digest")))
             .groupBy("host", "path")
-            .agg(F.max(F.struct(F.length("rule").alias("length"), "labels", "rule", "rule_verdict")).alias("best"))
-            .select(host.alias("best_host"), path.alias("best_path"), "best"))
-    return (rows.join(best, (F.col("host") == F.col("best_host")) & (F.col("path") == F.col("best_path")), "left")
-            .withColumn("rule", F.col("best.rule"))
-            .withColumn("verdict", F.coalesce(F.col("best.rule_verdict"), F.lit(default)))
-            .drop("best", "best_host", "best_path"))
+            .agg(F.max(F.struct(F.length("rule").alias("length"), "labels", "rule", "rule_verdict")).alias(BEST))
+            .select(host.alias(HOST), path.alias(PATH), BEST))
+    return (rows.join(best, (F.col("host") == F.col(HOST)) & (F.col("path") == F.col(PATH)), "left")
+            .withColumn("rule", F.col(f"{BEST}.rule"))
+            .withColumn("verdict", F.coalesce(F.col(f"{BEST}.rule_verdict"), F.lit(default)))
+            .drop(BEST, HOST, PATH))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
