@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vigil.llm import mixing, quality, url_filter
+from vigil.llm import html_text, mixing, quality, url_filter
 
 TEXT = " ".join(f"word{i}" for i in range(80)) + "."
 EXTRA = ["d", "s", "p", "_p", "n", "_row", "_words", "kept_id", "m_doc", "m_r", "best", "best_host", "at", "line", "label", "print", "r", "i"]
@@ -47,3 +47,13 @@ def test_small_sources_come_near_their_target(spark):
         assert all(r.taken <= 2 * r.size for r in mine)
         one = size / -(-size // mixing.BLOCK)  # words of an average block
         assert abs(taken - target) <= one / 2 + (mixing.BLOCK - size % mixing.BLOCK if size % mixing.BLOCK else 0) and taken > 0
+
+
+def test_pages_empty_long_and_with_columns_of_all_names(spark):
+    long = "".join(f"<p>line {k} of the page</p>" for k in range(30000))
+    rows = [(1, "http://a/x", f"<article>{long}</article>"), (None, None, None), (None, "http://a/y", "x"), (2, "http://a/x", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit(7) for c in ["shard", "lines", "border", "place", "own", *EXTRA]})
+    got = {(r.page_id, r.url): (r.text, r.n_chars) for r in html_text.extract(pages).collect()}
+    want = "\n".join(f"line {k} of the page" for k in range(30000))
+    assert got == {(1, "http://a/x"): (want, len(want)), (None, None): ("", 0), (None, "http://a/y"): ("x", 1), (2, "http://a/x"): ("", 0)}
+    assert html_text.extract(pages.limit(0)).collect() == []
