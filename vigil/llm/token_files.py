@@ -117,38 +117,49 @@ class Encoder:
         found = at.fill_null(-1).to_numpy().astype(np.int64)
         if at.null_count:
             new = keys.filter(at.is_null()).dictionary_encode()
-            if len(self.keys) + len(new.dictionary) > self.limit:
+            if len(self.keys) > 1 and len(self.keys) + len(new.dictionary) > self.limit:
                 self._forget()
-                found[:] = -1
-                new = keys.dictionary_encode()
-            ids = self._learn([k[1:] if k[:1] == "\0" else " " + k for k in new.dictionary.to_pylist()])
-            found[found < 0] = len(self.keys) + new.indices.to_numpy().astype(np.int64)
-            self.keys = pa.concat_arrays([self.keys, new.dictionary])
-            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), dtype="<u4")])
-            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+                return self._places(keys)
+            found[found < 0] = self._learn(new.dictionary)[new.indices.to_numpy()]
         return found
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> list[bytes]:
-        """Ids of each piece. Pieces of a space and a word stay pieces when they are joined, so few calls encode them all."""
-        known: dict[str, bytes] = {}
-        words = [p for p in new if p[:1] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
+    def _learn(self, keys: pa.Array) -> np.ndarray:
+        """Adds new keys and gives their places. Pieces of a space and a word stay pieces when they are joined, so a call
+        encodes ``LEARN`` of them, and their ids are cut at their bytes; first pieces and odd ones go one by one."""
+        first = np.array(pc.starts_with(keys, "\0"))
+        word = ~first & np.array(pc.greater(pc.binary_length(keys), 0)) & np.array(pc.equal(pc.utf8_trim_whitespace(keys), keys))
+        places = np.empty(len(keys), dtype=np.int64)
+        known, ids, sizes, count = [self.keys], [self.ids], [], len(self.keys)
+        odd = [np.flatnonzero(~word)]
+        words = np.flatnonzero(word)
         for lo in range(0, len(words), LEARN):
-            joined = words[lo: lo + LEARN]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum(self.sizes[ids])
-            stops = np.cumsum(np.fromiter((len(p.encode()) for p in joined), dtype=np.int64, count=len(joined)))
+            some = words[lo: lo + LEARN]
+            part = keys.take(pa.array(some))
+            joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(part)], part), pa.scalar(" ", part.type))[0].as_py()
+            got = np.array(self.tokenizer.encode_batch_fast([" " + joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum(self.sizes[got])
+            stops = np.cumsum(np.array(pc.binary_length(part), dtype=np.int64) + 1)
             at = np.searchsorted(ends, stops)
-            if ends[-1] == stops[-1] and (ends[at] == stops).all():
-                raw, cuts = ids.tobytes(), ((at + 1) * 4).tolist()
-                known.update((p, raw[lo:hi]) for p, lo, hi in zip(joined, [0, *cuts], cuts))
-        rest = [p for p in new if p not in known]
-        known.update(zip(rest, self._library(rest)))
-        known["\0"] = END_BYTES  # the end key, when all keys are learnt anew
-        return [known[p] for p in new]
+            if ends[-1] != stops[-1] or (ends[at] != stops).any():  # an id runs over a border
+                odd.append(some)
+                continue
+            places[some] = count + np.arange(len(some))
+            count += len(some)
+            known.append(part)
+            ids.append(got)
+            sizes.append(np.diff(at, prepend=-1))
+        rest = np.concatenate(odd)
+        part = keys.take(pa.array(rest))
+        raw = self._library([k[1:] if k[:1] == "\0" else " " + k for k in part.to_pylist()])
+        places[rest] = count + np.arange(len(rest))
+        self.keys = pa.concat_arrays([*known, part])
+        self.ids = np.concatenate([*ids, np.frombuffer(b"".join(raw), dtype="<u4")])
+        sizes.append(np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        return places
 
 
 @functools.lru_cache(maxsize=1)
