@@ -47,9 +47,9 @@ SAMPLE, SAMPLE_CHARS = 512, 8192
 DICTIONARY_BYTES = 65536
 LEVEL = 3
 CHUNK_DOCS, CHUNK_BYTES = 2048, 2 << 20
-BLOCK_CHARS = 8 << 20    # texts encoded at once; a longer text is a block of its own
+BLOCK_CHARS = 4 << 20    # texts encoded at once; a longer text is a block of its own
 BLOCK_PIECES = 1 << 18   # pieces whose ids are gathered at once
-LEARN = 50_000           # new pieces in one call of the library
+LEARN = 20_000           # new pieces in one call of the library
 CHUNKS = "shard int, chunk int, dict_hash string, doc_ids array<long>, n_tokens array<long>, offsets array<long>, frames binary"
 
 
@@ -64,6 +64,11 @@ def tokenizer(name: str):
     return t
 
 
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start[k] to start[k] + size[k] - 1 of each k, one after another."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, remembered per piece.
 
@@ -72,9 +77,10 @@ class Encoder:
     text without white space in a row is cut at its spaces, in Arrow and for many texts at once. Each piece
     is looked up among the known ones, new ones go to the library, and their ids are gathered. The key of a
     piece is what follows its space; a text's first piece has the key "\0" + piece, and "\0\0" is the
-    end id. Texts with white space in a row or "\0" go to the library whole."""
+    end id. Texts with white space in a row or "\0" go to the library whole. Of more than ``limit`` pieces
+    only those are kept that came again since the last such cut."""
 
-    def __init__(self, name: str, limit: int = 1_500_000):
+    def __init__(self, name: str, limit: int = 800_000):
         self.tokenizer, self.limit = tokenizer(name), limit
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # bytes of each id
@@ -85,6 +91,18 @@ class Encoder:
         self.keys = pa.array(["\0\0"], pa.large_string())
         self.ids = np.array([END], dtype="<u4")  # ids of all keys, one after another
         self.ends = np.array([0, 1])
+        self.used = np.array([True])             # keys that came again
+
+    def _cut(self) -> None:
+        """Keeps the pieces that came again, or none if those are many, too."""
+        kept = np.flatnonzero(self.used)
+        if len(kept) > self.limit // 2:
+            return self._forget()
+        size = np.diff(self.ends)[kept]
+        self.ids = self.ids[_runs(self.ends[kept], size)]
+        self.keys = self.keys.take(pa.array(kept))
+        self.ends = np.concatenate(([0], np.cumsum(size)))
+        self.used = np.arange(len(kept)) == 0
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian uint32 ids with the end id."""
@@ -105,21 +123,21 @@ class Encoder:
         out = []
         for lo in range(0, len(at), BLOCK_PIECES):
             some, size = at[lo: lo + BLOCK_PIECES], sizes[lo: lo + BLOCK_PIECES]
-            shift = self.ends[some] - (np.cumsum(size) - size)
-            out.append(self.ids[np.repeat(shift, size) + np.arange(size.sum())])
+            out.append(self.ids[_runs(self.ends[some], size)])
         raw = memoryview(np.concatenate(out).tobytes())
         cuts = (np.concatenate(([0], np.cumsum(np.add.reduceat(sizes, pieces.offsets.to_numpy()[:-1])))) * 4).tolist()
         return [bytes(raw[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
 
-    def _places(self, keys: pa.Array) -> np.ndarray:
+    def _places(self, keys: pa.Array, may_cut: bool = True) -> np.ndarray:
         """Places of the keys among the known ones, to which new ones are added."""
         at = pc.index_in(keys, self.keys)
         found = at.fill_null(-1).to_numpy().astype(np.int64)
+        self.used[found[found >= 0]] = True
         if at.null_count:
             new = keys.filter(at.is_null()).dictionary_encode()
-            if len(self.keys) > 1 and len(self.keys) + len(new.dictionary) > self.limit:
-                self._forget()
-                return self._places(keys)
+            if may_cut and len(self.keys) + len(new.dictionary) > self.limit:
+                self._cut()
+                return self._places(keys, False)
             found[found < 0] = self._learn(new.dictionary)[new.indices.to_numpy()]
         return found
 
@@ -159,6 +177,7 @@ class Encoder:
         self.ids = np.concatenate([*ids, np.frombuffer(b"".join(raw), dtype="<u4")])
         sizes.append(np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4)
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        self.used = np.concatenate([self.used, np.zeros(len(keys), dtype=bool)])
         return places
 
 
