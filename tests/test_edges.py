@@ -89,7 +89,7 @@ def test_unseen_category_error_or_keep(spark):
 def test_label_codes_alphabetical(spark):
     train = clean(_shop_rows(spark, ["b", "a", "c", "a"]))
     fitted = FeatureModel().fit(train)
-    codes = {r[1]: r[2] for r in fitted.encodings if r[0] == "payment_method"}
+    codes = {r[1]: r[2] for r in fitted.encodings.collect() if r[0] == "payment_method"}
     assert codes == {"a": 0, "b": 1, "c": 2}
 
 

@@ -4,10 +4,11 @@
   * one quantile pass (amount and quantity percentiles, robust scalers),
   * one aggregate for hour statistics,
   * one by-key pass for every categorical lookup (codes, location counts,
-    category fraud rates) - pre-aggregated, so a hot category is one row,
-and keeps the results as small parameter tables. ``transform`` is a chain of
-``withColumns`` blocks; lookups are broadcast joins whose size was counted at
-fit time. Batch statistics (J6, J9) are computed per batch in one grouped
+    category fraud rates) - pre-aggregated, so a hot category is one row.
+The dictionaries stay distributed tables of any size: codes are ranks over the
+distinct categories. ``transform`` is a chain of ``withColumns`` blocks; a lookup
+is a broadcast join where the dictionary's bytes, summed at fit time, are few,
+else a shuffled join beside which hot categories are looked up by broadcast. Batch statistics (J6, J9) are computed per batch in one grouped
 aggregate, or taken from the fit (``batch_stats="fitted"``, used for streams).
 """
 
@@ -28,13 +29,14 @@ from vigil.functions import interact as int_f
 from vigil.functions import risk as risk_f
 from vigil.functions import temporal as tmp_f
 from vigil.functions.clean import V_COLUMNS, is_card
+from vigil.operators.rank import global_rank
 from vigil.operators.select import exact_quantiles, quantile_table
 from vigil.session import apply_wide_plan_conf, checkpoint
 
 GROUPS = ("amount", "temporal", "customer", "behavioral", "velocity", "interaction", "risk")
 PROBS = [0.25, 0.5, 0.75, 0.9, 0.95]
-MAX_CATEGORIES = 100_000   # encodings beyond this are joined without a broadcast
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20  # dictionaries up to this are broadcast
+HOT_SHARE = 1 / 1024        # categories of at least this share are hot: 1024 a column at most
 BROADCAST_BATCHES = 10_000  # of about 60 numbers each
 DROP_CATEGORICAL = ["payment_method", "product_category", "device_used", "age_group", "customer_location"]
 DROP_DATES = ["timestamp", "transaction_date"]
@@ -79,8 +81,8 @@ class FeatureModel:
             spread = (vals[0.75] - vals[0.25]) if vals[0.75] is not None else 0.0
             params[f"{prefix}_center"] = vals[0.5]
             params[f"{prefix}_scale"] = spread if spread else 1.0
-        encodings = _fit_encodings(train, card, self.groups)
-        fitted = FittedFeatures(self, params, encodings)
+        encodings, sizes = _fit_encodings(train, card, self.groups)
+        fitted = FittedFeatures(self, params, encodings, sizes=sizes)
         if self.batch_stats == "fitted" and card:
             stats = _batch_stats(fitted._pre_risk(train.withColumn(BATCH, F.lit(0))), V_COLUMNS, train.columns).drop(BATCH).first()
             fitted.fitted_batch = stats.asDict() if stats else {}
@@ -113,37 +115,35 @@ def _encoded_columns(train: DataFrame, card: bool, groups) -> list[tuple[str, Co
     return cols
 
 
-def _fit_encodings(train: DataFrame, card: bool, groups) -> list[tuple]:
-    """Rows ``(column, category, code, freq, share, fraud_rate)`` from one grouped pass."""
+def _fit_encodings(train: DataFrame, card: bool, groups) -> tuple[DataFrame | None, dict]:
+    """Rows ``(column, category, code, freq, share, fraud_rate)`` from one grouped pass, and the bytes of each
+    column's dictionary. A code is the category's rank in its column (code points); a null category has none."""
     enc = _encoded_columns(train, card, groups)
     leftovers = [f.name for f in train.schema.fields
                  if isinstance(f.dataType, T.StringType) and f.name not in DROP_CATEGORICAL + DROP_DATES
                  and f.name != TARGET]
     enc += [(c, F.col(c)) for c in leftovers]
     if not enc:
-        return []
+        return None, {}
     label = F.col(TARGET).cast("double") if TARGET in train.columns else F.lit(None).cast("double")
     stacked = train.select(label.alias("_y"), F.explode(F.array(*[
         F.struct(F.lit(name).alias("column"), expr.alias("category")) for name, expr in enc])).alias("_e"))
     agg = (stacked.groupBy("_e.column", "_e.category")
            .agg(F.count(F.lit(1)).alias("freq"), F.avg("_y").alias("fraud_rate")))
-    rows = agg.limit(MAX_CATEGORIES * len(enc) + 1).collect()
-    if len(rows) > MAX_CATEGORIES * len(enc):
-        raise ValueError("categorical cardinality too large for an encoding table")
-    n = train.count()
-    out = []
-    by_col: dict[str, list] = {}
-    for r in rows:
-        by_col.setdefault(r["column"], []).append(r)
-    for col, rs in by_col.items():
-        cats = sorted(r["category"] for r in rs if r["category"] is not None)
-        code = {c: i for i, c in enumerate(cats)}
-        for r in rs:
-            out.append((col, r["category"], code.get(r["category"]), int(r["freq"]),
-                        r["freq"] / n if n else 0.0, r["fraud_rate"]))
-    return out
-
-
+    # nulls sort first, so a column's codes start behind its null category
+    ranked = checkpoint(global_rank(agg, ["column", "category"], "_rank"))
+    per = ranked.groupBy("column").agg(
+        F.sum("freq").alias("_n"), F.min(F.when(F.col("category").isNotNull(), F.col("_rank"))).alias("_first"),
+        F.sum(F.coalesce(F.octet_length("category"), F.lit(0)) + ENTRY_BYTES).alias("_bytes")).collect()  # a row per column
+    bounds = train.sparkSession.createDataFrame([(r["column"], r["_n"], r["_first"]) for r in per],
+                                                "column string, _n long, _first long")
+    code = F.when(F.col("category").isNotNull(), F.col("_rank") - F.col("_first")).cast("int")
+    table = ranked.join(F.broadcast(bounds), "column").select(
+        "column", "category", code.alias("code"), "freq", (F.col("freq") / F.col("_n")).alias("share"), "fraud_rate")
+    return table, {r["column"]: r["_bytes"] for r in per}
+
+
+ENTRY_BYTES = 64  # of a dictionary's row beside its category
 ENC_SCHEMA = T.StructType([
     T.StructField("column", T.StringType()), T.StructField("category", T.StringType()),
     T.StructField("code", T.IntegerType()), T.StructField("freq", T.LongType()),
@@ -162,21 +162,34 @@ def _batch_stats(df: DataFrame, vs_all, cols) -> DataFrame:
 class FittedFeatures:
     model: FeatureModel
     params: dict
-    encodings: list = field(default_factory=list)
+    encodings: DataFrame | None = None      # ENC_SCHEMA
     fitted_batch: dict | None = None
+    sizes: dict = field(default_factory=dict)  # bytes of each column's dictionary
 
     # -- lookups -----------------------------------------------------------
-    def _enc_df(self, spark: SparkSession, column: str) -> DataFrame:
-        rows = [r for r in self.encodings if r[0] == column]
-        df = spark.createDataFrame(rows, ENC_SCHEMA).drop("column")
-        return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
-
     def _lookup(self, df: DataFrame, column: str, src, want: dict[str, str]) -> DataFrame:
-        """Left lookup of ``want`` (enc field -> output name) for category ``src``."""
-        enc = self._enc_df(df.sparkSession, column)
+        """Left lookup of ``want`` (enc field -> output name) for category ``src``.
+
+        A dictionary that is too large to broadcast is joined by shuffle. Rows of its hot categories are looked up
+        by broadcast before; they and rows without a category get a salt that no entry has, so they spread."""
         key = f"_k_{column}"
-        sel = [F.col("category").alias(key)] + [F.col(k).alias(v) for k, v in want.items()]
-        return df.withColumn(key, src).join(enc.select(*sel), key, "left")
+        names = list(want.values())
+        df = df.withColumn(key, src)
+        if column not in self.sizes:
+            return df.withColumns({v: F.lit(None).cast(ENC_SCHEMA[k].dataType) for k, v in want.items()})
+        enc = self.encodings.where((F.col("column") == column) & F.col("category").isNotNull())
+        enc = enc.select(F.col("category").alias(key), "share" if "share" not in want else F.col("share").alias(want["share"]),
+                         *[F.col(k).alias(v) for k, v in want.items() if k != "share"])
+        share = F.col(want.get("share", "share"))
+        if self.sizes[column] <= BROADCAST_BYTES:
+            return df.join(F.broadcast(enc.select(key, *names)), key, "left")
+        hot = enc.where(share >= HOT_SHARE).select(key, *[F.col(n).alias(f"_hot{n}") for n in names], F.lit(True).alias("_hot"))
+        cold = enc.where(share < HOT_SHARE).select(key, *names, F.lit(0).cast("long").alias("_salt"))
+        row = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        df = df.join(F.broadcast(hot), key, "left")
+        df = df.withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), F.xxhash64(*row)).otherwise(F.lit(0).cast("long")))
+        df = df.join(cold, [key, "_salt"], "left")
+        return df.withColumns({n: F.coalesce(F.col(f"_hot{n}"), F.col(n)) for n in names}).drop("_hot", "_salt", *[f"_hot{n}" for n in names])
 
     def _code(self, name: str, src) -> F.Column:
         code = F.col(name)
@@ -312,11 +325,12 @@ class FittedFeatures:
 
     # -- persistence (A8) --------------------------------------------------
     def save(self, spark: SparkSession, path: str) -> None:
+        if self.encodings is not None:
+            table = checkpoint(self.encodings)  # it may have been loaded from the folder that is written anew
+            table.write.mode("overwrite").parquet(os.path.join(path, "encodings"))
         spark.createDataFrame([(json.dumps(self.params), json.dumps(self.model.__dict__, default=list),
-                                json.dumps(self.fitted_batch))], "params string, model string, batch string") \
+                                json.dumps(self.fitted_batch), json.dumps(self.sizes))], "params string, model string, batch string, sizes string") \
             .coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "params"))
-        spark.createDataFrame(self.encodings, ENC_SCHEMA).coalesce(1).write.mode("overwrite") \
-            .parquet(os.path.join(path, "encodings"))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "FittedFeatures":
@@ -326,9 +340,10 @@ class FittedFeatures:
         md = json.loads(r["model"])
         for k in ("groups", "late_night", "business_hours"):
             md[k] = tuple(md[k])
-        enc = [tuple(x) for x in spark.read.parquet(os.path.join(path, "encodings")).collect()]
+        sizes = json.loads(r["sizes"])
+        enc = spark.read.schema(ENC_SCHEMA).parquet(os.path.join(path, "encodings")) if sizes else None
         batch = json.loads(r["batch"]) if r["batch"] else None
-        return FittedFeatures(FeatureModel(**md), json.loads(r["params"]), enc, batch)
+        return FittedFeatures(FeatureModel(**md), json.loads(r["params"]), enc, batch, sizes)
 
 
 Column = F.Column

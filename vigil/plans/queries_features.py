@@ -160,9 +160,7 @@ def q_risk_bands(spark, sf):
 
 
 def _encodings(spark, sf):
-    fitted = P.fit_features(P.shop_split(spark, sf))
-    from vigil.operators.features import ENC_SCHEMA
-    return spark.createDataFrame(fitted.encodings, ENC_SCHEMA)
+    return P.fit_features(P.shop_split(spark, sf)).encodings
 
 
 def q_label_codes(spark, sf):
