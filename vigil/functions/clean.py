@@ -59,6 +59,16 @@ def card_date(time_col, max_time) -> "F.Column":
     return F.timestamp_add("MICROSECOND", micros, F.expr(f"TIMESTAMP_NTZ'{CARD_BASE_DATE}'"))
 
 
+def event_time(df: DataFrame) -> DataFrame:
+    """``transaction_date`` = base date + ``time`` seconds (whole microseconds), where the column is missing.
+
+    A null or NaN time gives a null date; a table that has dates, or no ``time``, is left as it is."""
+    if "transaction_date" in df.columns or "time" not in df.columns:
+        return df
+    micros = F.round(nan_to_null(F.col("time").cast("double")) * 1_000_000).cast("long")
+    return df.withColumn("transaction_date", F.timestamp_add("MICROSECOND", micros, F.expr(f"TIMESTAMP_NTZ'{CARD_BASE_DATE}'")))
+
+
 def card_clean_params(df: DataFrame) -> dict:
     """Whole-table statistics of the card cleaning step (p99 cap, time maximum), one pass."""
     out = {}

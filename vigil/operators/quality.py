@@ -12,6 +12,9 @@ from vigil.operators.rank import global_rank
 NEAR_CONSTANT_STD = 1e-10
 EXTREME_ABS = 1e6
 STABILITY_SHIFT = 0.5
+# fixed values: share of stable features and bounds of the fraud rate that the checks ask for
+STABLE_SHARE = 0.8
+RATE_BOUNDS = (0.0001, 0.01)
 
 
 def long_form(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -72,6 +75,25 @@ def stability(df: DataFrame, features: Sequence[str], split: str = "split") -> D
     return m.withColumn("stable", F.coalesce(ok, F.lit(False)))
 
 
+def stability_verdict(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
+    """How many of the features are stable, and whether more than 80 % are (no features: not)."""
+    a = stability(df, features, split).agg(F.count(F.lit(1)).alias("n_features"), F.count_if("stable").alias("n_stable"))
+    return a.withColumn("stable", F.col("n_stable") > F.lit(STABLE_SHARE) * F.col("n_features"))
+
+
+def target_absent(features: DataFrame, label: str = "is_fraudulent") -> DataFrame:
+    """Per column of a feature table that holds rows, whether it is the target under any case."""
+    names = F.explode(F.array(*[F.lit(c) for c in features.columns])).alias("feature")
+    return features.limit(1).select(names).withColumn("is_target", F.lower("feature") == label)
+
+
+def representative_rate(df: DataFrame, label: str = "is_fraudulent", split: str = "split") -> DataFrame:
+    """Fraud rate per split and whether it lies strictly inside the bounds (no labels: null and false)."""
+    rates = df.groupBy(split).agg(F.avg(label).alias("fraud_rate"))
+    inside = (F.col("fraud_rate") > RATE_BOUNDS[0]) & (F.col("fraud_rate") < RATE_BOUNDS[1])
+    return rates.withColumn("representative", F.coalesce(inside, F.lit(False)))
+
+
 def spread(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
     """Per (feature, split): sample std, min, max - the basis of O11 and O12."""
     return wide_stats(df, features, {"std": F.stddev_samp, "min_value": F.min, "max_value": F.max}, by=[split])

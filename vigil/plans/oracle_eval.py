@@ -215,3 +215,17 @@ SELECT hour, count(*) AS n_rows, CAST(sum(predicted_fraud) AS BIGINT) AS n_flagg
        round(sum(CASE WHEN predicted_fraud = 1 THEN amount ELSE 0.0 END), 6) AS flagged_amount,
        CAST(sum(predicted_fraud * is_fraudulent) AS BIGINT) AS n_caught
 FROM p GROUP BY hour""")
+
+ORACLE.update({
+    "check_stability_verdict": f"""SELECT count(*) AS n_features, count(*) FILTER (WHERE stable) AS n_stable,
+       count(*) FILTER (WHERE stable) > 0.8 * count(*) AS stable FROM ({_STABILITY})""",
+    "check_target_absent": B.with_(*CARD, final="""
+, one AS (SELECT coalesce(COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)), 0) FROM card_f LIMIT 1)
+SELECT feature, lower(feature) = 'is_fraudulent' AS is_target
+FROM (UNPIVOT one ON COLUMNS(*) INTO NAME feature VALUE value)"""),
+    "check_representative_rate": B.with_(B.CARD, B.CLEAN_CARD, B.CARD_POS, B.CARD_SPLIT, final="""
+SELECT split, round(avg(is_fraudulent), 6) AS fraud_rate, avg(is_fraudulent) > 0.0001 AND avg(is_fraudulent) < 0.01 AS representative
+FROM card_split GROUP BY split"""),
+    "event_time": B.with_(B.CARD, final="""
+SELECT row_id, epoch_us(TIMESTAMP '2023-01-01 00:00:00') + CAST(round(time * 1000000) AS BIGINT) AS transaction_us FROM card"""),
+})

@@ -120,3 +120,5 @@ SELECT row_id, split, round(COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)), 6
     "feature_rows_shop": B.with_(*SHOP, final="""
 SELECT row_id, split, COLUMNS(* EXCLUDE (row_id, split, is_fraudulent)) FROM shop_f"""),
 })
+
+ORACLE["clean_card_csv"] = ORACLE["clean_card"]  # the same rows, by way of a CSV file

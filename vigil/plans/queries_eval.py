@@ -164,6 +164,20 @@ def q_check_stability(spark, sf):
     return rounded(Q.stability(ft, _features(ft)))
 
 
+def q_check_stability_verdict(spark, sf):
+    ft = P.card_features(spark, sf)[1]
+    return Q.stability_verdict(ft, _features(ft))
+
+
+def q_check_target_absent(spark, sf):
+    ft = P.card_features(spark, sf, keep=("row_id", "split"))[1]  # the target is not asked for
+    return Q.target_absent(ft.drop("row_id", "split"))
+
+
+def q_check_representative_rate(spark, sf):
+    return rounded(Q.representative_rate(P.card_split(spark, sf)))
+
+
 def q_check_near_constant(spark, sf):
     ft = P.card_features(spark, sf)[1]
     return Q.near_constant(ft, _features(ft)).select("feature", "split")
@@ -266,7 +280,8 @@ QUERIES = {
     "alerts_at_percentile": q_alerts_at_percentile, "alerts_fixed_threshold": q_alerts_fixed_threshold,
     "metric_report": q_metric_report,
     "check_temporal_order": q_check_temporal_order, "check_overlap": q_check_overlap,
-    "check_id_overlap": q_check_id_overlap, "check_stability": q_check_stability,
+    "check_id_overlap": q_check_id_overlap, "check_stability": q_check_stability, "check_stability_verdict": q_check_stability_verdict,
+    "check_target_absent": q_check_target_absent, "check_representative_rate": q_check_representative_rate,
     "check_near_constant": q_check_near_constant, "check_ranges": q_check_ranges,
     "check_class_presence": q_check_class_presence, "check_separation": q_check_separation,
     "check_order": q_check_order, "check_score_sanity": q_check_score_sanity,

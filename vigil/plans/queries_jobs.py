@@ -73,6 +73,24 @@ def q_predict_reloaded(spark, sf):
                     (F.col("b.anomaly_score") >= 0).alias("non_negative"))
 
 
+def q_clean_card_csv(spark, sf):
+    """A1: the raw card table written as CSV, read with the declared schema and cleaned."""
+    from vigil.functions.clean import clean
+    from vigil.plans.common import epoch_us
+    from vigil.sources.csv import read_csv
+    path = _scratch(spark, "card-csv")
+    card(spark, sf).write.option("header", True).csv(path)
+    df = clean(read_csv(spark, path).rows)
+    return rounded(df.select("row_id", "time", "amount", epoch_us("transaction_date").alias("transaction_us"), "transaction_hour", "is_fraudulent"))
+
+
+def q_event_time(spark, sf):
+    """Event time of the raw card rows, their seconds after the base date without rescaling."""
+    from vigil.functions.clean import event_time
+    from vigil.plans.common import epoch_us
+    return event_time(card(spark, sf).select("row_id", "time")).select("row_id", epoch_us("transaction_date").alias("transaction_us"))
+
+
 def q_run_records(spark, sf):
     """A9 + M12: per-run metrics written as JSON run records, scanned back with a declared schema,
     best run chosen by AUC."""
@@ -112,7 +130,7 @@ def q_model_size(spark, sf):
                                  "n_features int, latent_dim int, n_params long")
 
 
-QUERIES = {"sample_exact": q_sample_exact, "random_split": q_random_split, "batch_predict": q_batch_predict, "predict_reloaded": q_predict_reloaded,
+QUERIES = {"clean_card_csv": q_clean_card_csv, "event_time": q_event_time, "sample_exact": q_sample_exact, "random_split": q_random_split, "batch_predict": q_batch_predict, "predict_reloaded": q_predict_reloaded,
            "run_records": q_run_records, "ranked_records": q_ranked_records, "model_size": q_model_size}
 
 
