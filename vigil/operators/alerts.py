@@ -11,6 +11,9 @@ from vigil.operators.evaluate import confusion_counts, predict, threshold_at
 
 DEFAULT_PERCENTILE = 99
 DEFAULT_TOP = 100
+# fixed values: the columns that an alert shows
+DISPLAY = ["amount", "time", *[f"v{i}" for i in range(1, 29)], "amount_log", "amount_sqrt", "amount_scaled", "amount_above_95",
+           "amount_ratio_to_median", "hour", "day_of_week", "is_weekend", "is_business_hours", "comprehensive_risk_score", "high_risk"]
 
 
 def classify_and_rank(scored: DataFrame, threshold: float, labels: DataFrame | None = None,

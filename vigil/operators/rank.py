@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from vigil.session import checkpoint
 
 PID = "_pid"
+#: helper columns of tie ranks: rows before the first and after the last row of the same value within a partition
+BEFORE, AFTER = "__before", "__after"
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 UNKNOWN_BYTES = 1 << 60     # Catalyst's size of a leaf that it knows nothing about
 ROW_BITS = 33               # of monotonically_increasing_id: the row in its partition
@@ -153,3 +155,89 @@ def average_rank(df: DataFrame, col: str, name: str = "avg_rank",
     pre = prefix_sums(vc, [col], {"_cum": "_cnt"}, num_partitions)
     return pre.select(col, (F.col("_cum") + (F.col("_cnt") + 1) / 2.0).alias(name), "_cnt")
 
+
+def _run_starts(df: DataFrame, col: str, name: str) -> DataFrame:
+    """Add the position, in its sorted partition, of the first row of each row's value. Holds one batch."""
+    at = df.columns.index(col)
+
+    def run(batches):
+        seen, last, first = 0, None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(at).to_numpy(zero_copy_only=False)
+            new = np.append(seen == 0 or x[0] != last, x[1:] != x[:-1])
+            starts = np.maximum.accumulate(np.where(new, np.arange(seen, seen + len(x)), first))
+            seen, last, first = seen + len(x), x[-1], int(starts[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(starts)], [*batch.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.LongType(), False)]))
+
+
+def tie_ranks(df: DataFrame, col: str, name: str = "avg_rank", num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``df`` with the average 1-based rank of ``col`` among equal values (null and NaN: null), and how many rows have one.
+
+    One range exchange, by the value and a hash of the row, so rows of a frequent value lie in many partitions (equal whole rows
+    in one). Ranks inside a partition follow from two local sorts; a value that may go on in another partition is the first or
+    last of its own, and those, two for each partition, are added up on the driver."""
+    x = F.col(col)
+    kind = df.schema[col].dataType
+    ranked = x.isNotNull() & ~F.isnan(x) if isinstance(kind, (T.DoubleType, T.FloatType)) else x.isNotNull()
+    parts = _num_partitions(df, num_partitions)
+    rows = checkpoint(df.where(ranked).repartitionByRange(parts, x, F.xxhash64(*[F.col(c) for c in df.columns]))
+                      .withColumn(PID, F.spark_partition_id()))
+    ends = rows.groupBy(PID).agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi"))
+    held = rows.select(PID, x.alias("x")).join(F.broadcast(ends), PID).groupBy(PID, "n", "lo", "hi").agg(
+        F.count_if(F.col("x") == F.col("lo")).alias("n_lo"), F.count_if(F.col("x") == F.col("hi")).alias("n_hi"))
+    start: dict = {}
+    total: dict = {}
+    offsets, before = {}, 0
+    borders = sorted(held.collect(), key=lambda r: r[PID])  # one row per range partition
+    for r in borders:
+        offsets[r[PID]] = before
+        for v, at, k in {r.lo: (r.lo, before, r.n_lo), r.hi: (r.hi, before + r.n - r.n_hi, r.n_hi)}.values():
+            start.setdefault(v, at)
+            total[v] = total.get(v, 0) + k
+        before += r.n
+    rank = {v: start[v] + (total[v] + 1) / 2 for v in start}
+    schema = T.StructType([T.StructField(PID, T.IntegerType(), False), *[T.StructField(c, T.LongType()) for c in ("__offset", "__n")],
+                           *[T.StructField(c, kind) for c in ("__lo", "__hi")], *[T.StructField(c, T.DoubleType()) for c in ("__lo_rank", "__hi_rank")]])
+    table = df.sparkSession.createDataFrame([(r[PID], offsets[r[PID]], r.n, r.lo, r.hi, rank[r.lo], rank[r.hi]) for r in borders], schema)
+    up = _run_starts(rows.sortWithinPartitions(col), col, BEFORE)
+    both = _run_starts(up.sortWithinPartitions(F.col(col).desc()), col, AFTER).join(F.broadcast(table), PID)
+    inside = F.col("__offset") + (F.col(BEFORE) + F.col("__n") - 1 - F.col(AFTER)) / 2.0 + 1.0
+    value = F.when(x == F.col("__lo"), F.col("__lo_rank")).when(x == F.col("__hi"), F.col("__hi_rank")).otherwise(inside)
+    done = both.select(*df.columns, value.alias(name))
+    return done.unionByName(df.where(~ranked).withColumn(name, F.lit(None).cast("double"))), before
+
+
+def descents(df: DataFrame, key: str, order: Sequence[str], num_partitions: int | None = None) -> tuple[int, int]:
+    """Rows with a ``key``, and how many of them have a smaller key than the row before them in ``order`` (unique).
+
+    One range exchange; each partition gives its own count and its first and last key, which are compared on the driver."""
+    ranged = _ranged(df.where(F.col(key).isNotNull()).select(*dict.fromkeys([key, *order])), order, num_partitions)
+    keys = ranged.select(F.col(key).alias("k"), F.spark_partition_id().alias(PID))
+    kind = keys.schema["k"]
+
+    def run(batches):
+        n = down = 0
+        pid = first = last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k = batch.column(0).to_numpy(zero_copy_only=False)
+            if n == 0:
+                pid, first = batch.column(1)[0], batch.column(0)[0]
+            else:
+                down += int(k[0] < last)
+            down += int((k[1:] < k[:-1]).sum())
+            n, last, end = n + len(k), k[-1], batch.column(0)[len(k) - 1]
+        if n:
+            columns = [[pid.as_py()], [n], [down], [first.as_py()], [end.as_py()]]
+            types = [pa.int32(), pa.int64(), pa.int64(), first.type, first.type]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [PID, "n", "down", "first", "last"])
+
+    schema = T.StructType([T.StructField(PID, T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("down", T.LongType()),
+                           T.StructField("first", kind.dataType), T.StructField("last", kind.dataType)])
+    parts = sorted(keys.mapInArrow(run, schema).collect(), key=lambda r: r[PID])  # one row per range partition
+    return sum(r.n for r in parts), sum(r.down for r in parts) + sum(b["first"] < a["last"] for a, b in zip(parts, parts[1:]))

@@ -12,10 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.operators.draws import draw_key, permuted
 from vigil.operators.rank import before_key, global_rank
 from vigil.operators.select import rows_at
 
 TIME_ORDER = ("transaction_date", "row_id")
+#: names of helper columns
+DRAW, POSITION, SOURCE, MOVED = "__draw", "__position", "__source", "__moved"
 
 
 def cut_sizes(n: int, ratios: Sequence[float]) -> list[int]:
@@ -62,22 +65,28 @@ def tail_rows(df: DataFrame, frac: float = 0.2, order=TIME_ORDER, name: str = "i
 
 
 def hash_key(key: str, seed: int) -> F.Column:
-    return F.xxhash64(F.col(key), F.lit(seed))
+    return draw_key(F.col(key), seed)
+
+
+def random_split(df: DataFrame, seed: int = 42, key: str = "row_id", parts: int = 10, name: str = "split") -> DataFrame:
+    """About one row in ``parts`` is ``test``, the others ``train``, by the seeded number of the row's key: a row keeps its side
+    whatever the partitions, and rows of one key are never parted."""
+    return df.withColumn(name, F.when(hash_key(key, seed) % parts == 0, "test").otherwise("train"))
 
 
 def sample_exact(df: DataFrame, frac: float, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """Exactly ``int(n * frac)`` rows, chosen by a seeded hash order (no driver collect)."""
-    h = df.withColumn("_h", hash_key(key, seed))
-    _, keys = rows_at(h, ["_h", key], lambda n: [int(n * frac)])
-    return h.where(before_key(["_h", key], next(iter(keys.values()), None))).drop("_h")
+    """Exactly ``int(n * frac)`` rows, the first in the order of seeded numbers of ``key`` (no driver collect)."""
+    h = df.withColumn(DRAW, hash_key(key, seed))
+    _, keys = rows_at(h, [DRAW, key], lambda n: [int(n * frac)])
+    return h.where(before_key([DRAW, key], next(iter(keys.values()), None))).drop(DRAW)
 
 
 def shuffle_labels(df: DataFrame, label: str, seed: int = 42, key: str = "row_id",
                    num_partitions: int | None = None) -> DataFrame:
-    """Permute ``label`` across rows: the row at hash position i receives the label of
-    the row at key position i. Two global ranks and one equi-join on position."""
-    by_key = global_rank(df.select(key, label), [key], "_pos", num_partitions)
-    by_hash = global_rank(df.select(key).withColumn("_h", hash_key(key, seed)), ["_h", key], "_pos",
-                          num_partitions)
-    moved = by_hash.join(by_key.select("_pos", F.col(label).alias("_moved")), "_pos")
-    return df.join(moved.select(key, "_moved"), key).withColumn(label, F.col("_moved")).drop("_moved")
+    """Permute ``label`` across rows: the row at position i in the order of ``key`` (unique) receives the label of the row
+    at the position that a seeded permutation gives. One global rank and one equi-join on positions, each of which occurs once."""
+    ranked = global_rank(df, [key], POSITION, num_partitions)
+    n = ranked.count()
+    moved = ranked.select(F.col(POSITION).alias(SOURCE), F.col(label).alias(MOVED))
+    taken = ranked.withColumn(SOURCE, permuted(F.col(POSITION), n, seed)).join(moved, SOURCE)
+    return taken.withColumn(label, F.col(MOVED)).select(df.columns)

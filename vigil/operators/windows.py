@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.operators.rank import average_rank
+from vigil.operators.rank import tie_ranks
 
 US = {"1H": 3_600_000_000, "24H": 86_400_000_000, "7D": 7 * 86_400_000_000}
 
@@ -28,10 +28,9 @@ def epoch_us(col: str) -> F.Column:
 
 
 def percentile_rank(df: DataFrame, col: str, name: str = "pct_rank") -> DataFrame:
-    """Pandas ``rank(pct=True)`` - average rank of ties divided by the count."""
-    n = df.where(F.col(col).isNotNull()).count()
-    ranks = average_rank(df, col, "_avg_rank").select(col, (F.col("_avg_rank") / F.lit(float(n))).alias(name))
-    return df.join(ranks, col, "left")
+    """Pandas ``rank(pct=True)`` - average rank of ties divided by the count (null and NaN: null)."""
+    ranked, n = tie_ranks(df, col, name)
+    return ranked.withColumn(name, F.col(name) / F.lit(float(max(n, 1))))
 
 
 def rolling(df: DataFrame, key: str, ts: str, windows: dict[str, tuple[int, str, str]],

@@ -157,9 +157,8 @@ FROM card_split GROUP BY split"""),
     "check_separation": B.with_(*S, final="""
 SELECT is_fraudulent, round(avg(anomaly_score), 6) AS mean_score, count(*) AS n FROM scored GROUP BY 1"""),
     "check_order": B.with_(B.CARD, B.CLEAN_CARD, final="""
-, r AS (SELECT row_number() OVER (ORDER BY row_id) AS a, row_number() OVER (ORDER BY transaction_date, row_id) AS b
-        FROM clean_card)
-SELECT count(*) AS n_rows, CAST(sum(CASE WHEN a <> b THEN 1 ELSE 0 END) AS BIGINT) AS n_out_of_order FROM r"""),
+, r AS (SELECT row_id, lag(row_id) OVER (ORDER BY transaction_date, row_id) AS previous FROM clean_card)
+SELECT count(*) AS n_rows, CAST(coalesce(sum(CASE WHEN row_id < previous THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_out_of_order FROM r"""),
     "check_score_sanity": B.with_(*S, thr(95), final="""
 , a AS (SELECT stddev_pop(anomaly_score) AS std_score, min(anomaly_score) AS min_score,
                max(anomaly_score) AS max_score,

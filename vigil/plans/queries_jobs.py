@@ -10,17 +10,20 @@ import uuid
 from pyspark.sql import functions as F
 
 from vigil.operators import evaluate as E
-from vigil.operators.alerts import classify_and_rank
+from vigil.operators.alerts import DISPLAY, classify_and_rank
 from vigil.operators.model import AnomalyModel
-from vigil.operators.split import hash_key, sample_exact
+from vigil.operators.fingerprint import compare, fingerprints
+from vigil.operators.split import random_split, sample_exact
 from vigil.plans import prepare as P
 from vigil.plans.common import rounded
 from vigil.functions.clean import card_clean_params
 from vigil.session import checkpoint, ensure_checkpoint_dir
 from vigil.sources import io
 from vigil.sources.fixtures import card
+from vigil.sources.tables import read_table
 
-DISPLAY = ["amount", "time", "hour", "amount_z_score", "comprehensive_risk_score", "v_features_mean"]
+
+FINGERPRINT_KEYS = {"events": ["event_id"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]}
 
 
 def _scratch(spark, name):
@@ -28,15 +31,13 @@ def _scratch(spark, name):
 
 
 def q_sample_exact(spark, sf):
-    """Exactly int(0.1 n) rows by a seeded hash order."""
-    return sample_exact(P.clean_card(spark, sf).select("row_id", "amount", "is_fraudulent"), 0.1, seed=42)
+    """Exactly int(0.1 n) rows by a seeded order."""
+    return rounded(sample_exact(P.clean_card(spark, sf).select("row_id", "amount", "is_fraudulent"), 0.1, seed=42))
 
 
 def q_random_split(spark, sf):
-    """90/10 split by a seeded hash bucket of the row id (stable across runs and partitionings)."""
-    df = P.clean_card(spark, sf).select("row_id", "is_fraudulent")
-    b = F.pmod(hash_key("row_id", 42), F.lit(10))
-    return df.withColumn("split", F.when(b == 0, "test").otherwise("train"))
+    """90/10 split by seeded numbers of the row ids (stable across runs, partitionings and engines)."""
+    return random_split(P.clean_card(spark, sf).select("row_id", "is_fraudulent"), seed=42)
 
 
 def saved_model(spark, sf, **options):
@@ -121,6 +122,47 @@ def q_ranked_records(spark, sf):
     return classify_and_rank(scored, thr)
 
 
+def q_alert_records(spark, sf):
+    """B16 + N1 + N4: the ranked records of the test rows as plain columns: score, prediction at p99, the label looked up in the
+    label table by row id, and all 41 display features."""
+    ft = P.card_features(spark, sf)[1].where(F.col("split") == "test")
+    shown = [F.col(c).cast("double").alias(c) for c in DISPLAY if c in ft.columns]
+    scored = ft.select("row_id", F.col("amount_z_score").alias("anomaly_score"), *shown)
+    labels = card(spark, sf).select("row_id", "is_fraudulent")
+    ranked = classify_and_rank(scored, E.threshold_at(scored, "anomaly_score", 99), labels=labels)
+    return rounded(ranked.drop("is_fraudulent"))
+
+
+def q_table_fingerprints(spark, sf):
+    """The order-free fingerprint of every column of three tables, whole."""
+    out = None
+    for name, key in FINGERPRINT_KEYS.items():
+        part = fingerprints(read_table(spark, sf, name), key).select(F.lit(name).alias("table"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_check_reloaded_table(spark, sf):
+    """Every column of the feature table against the same table written and read again, by fingerprints."""
+    table = checkpoint(P.card_features(spark, sf)[1])  # a digest reads a value several times: not its whole expression each time
+    path = _scratch(spark, "features")
+    table.write.parquet(path)
+    return compare(table, spark.read.parquet(path), ["row_id"])
+
+
+def q_check_stored_params(spark, sf):
+    """All stored parameters of the fitted model against those that a loaded copy stores again, by fingerprints."""
+    _, model, loaded = saved_model(spark, sf)
+    paths = [_scratch(spark, "model-a"), _scratch(spark, "model-b")]
+    for m, path in zip((model, loaded), paths):
+        m.save(spark, path)
+    out = None
+    for name, key in (("features/params", ()), ("parts", ("position",)), ("model", ())):
+        part = compare(*[spark.read.parquet(f"{p}/{name}") for p in paths], key).select(F.lit(name).alias("table"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_model_size(spark, sf):
     """Parameter count of the fitted linear reconstruction model."""
     from vigil.plans.queries_eval import linear_model
@@ -131,7 +173,8 @@ def q_model_size(spark, sf):
 
 
 QUERIES = {"clean_card_csv": q_clean_card_csv, "event_time": q_event_time, "sample_exact": q_sample_exact, "random_split": q_random_split, "batch_predict": q_batch_predict, "predict_reloaded": q_predict_reloaded,
-           "run_records": q_run_records, "ranked_records": q_ranked_records, "model_size": q_model_size}
+           "run_records": q_run_records, "ranked_records": q_ranked_records, "alert_records": q_alert_records, "table_fingerprints": q_table_fingerprints,
+           "check_reloaded_table": q_check_reloaded_table, "check_stored_params": q_check_stored_params, "model_size": q_model_size}
 
 
 def mlp_model(spark, sf, epochs: int = 8, percentile: float = 95):

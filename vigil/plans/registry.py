@@ -5,6 +5,7 @@ from __future__ import annotations
 from vigil.plans import (
     oracle_eval,
     oracle_features,
+    oracle_jobs,
     oracle_stream,
     oracle_windows,
     queries_eval,
@@ -24,6 +25,6 @@ def all_queries() -> dict:
 
 def all_oracles() -> dict:
     out = {}
-    for mod in (oracle_features, oracle_eval, oracle_windows, oracle_stream):
+    for mod in (oracle_features, oracle_eval, oracle_windows, oracle_stream, oracle_jobs):
         out.update(mod.ORACLE)
     return out
