@@ -1,7 +1,7 @@
 """Fingerprints of tables that do not depend on the order of their rows.
 
 A column's digest is the sum over its rows of the MD5 number of ``key|value``, so it
-needs one aggregate with map-side combine, and one changed value, or two values
+needs aggregates with map-side combine only, and one changed value, or two values
 that changed rows, change it. Values are written exactly and alike in every engine:
 doubles as sign, whole part and two parts of 52 binary digits (what lies below
 2**-104 is not seen; from 2**63 on in the engine's own notation; -0.0 as 0.0),
@@ -51,23 +51,27 @@ def value_text(x: Column, kind: T.DataType) -> Column:
 def fingerprints(df: DataFrame, key: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: ``column``, ``n_rows``, ``n_null``, ``digest`` (decimal digits; an empty table's is 0).
 
-    ``key`` names the columns that identify a row; without it a column's values may change rows unseen."""
+    ``key`` names the columns that identify a row; without it a column's values may change rows unseen. Columns of one
+    type are stacked and share one expression and one aggregate."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     columns = list(kinds) if columns is None else list(columns)
-
-    def text(c: str) -> Column:
-        return value_text(F.col(f"`{c}`"), kinds[c])
-
-    row = [F.coalesce(text(k), F.lit("")) for k in key]
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for i, c in enumerate(columns):
-        value = text(c)
-        h = F.when(value.isNotNull(), number(F.concat_ws("|", *row, value))).cast(SUM)
-        aggs += [F.sum(h).alias(f"d{i}"), F.count_if(F.col(f"`{c}`").isNull()).alias(f"z{i}")]
-    parts = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"z{i}").alias("n_null"),
-                 F.coalesce(F.col(f"d{i}").cast("string"), F.lit("0")).alias("digest")) for i, c in enumerate(columns)]))
-    return df.agg(*aggs).select("n_rows", parts.alias("p")).select("p.column", "n_rows", "p.n_null", "p.digest")
+    row = F.concat(F.lit(""), *[F.concat(F.coalesce(value_text(F.col(f"`{k}`"), kinds[k]), F.lit("")), F.lit("|")) for k in key])
+    by_kind: dict = {}
+    for c in columns:
+        by_kind.setdefault(kinds[c].simpleString(), []).append(c)
+    out = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    found = None
+    for names in by_kind.values():
+        stacked = df.select(row.alias("k"), F.posexplode(F.array(*[F.col(f"`{c}`") for c in names])).alias("i", "x"))
+        text = value_text(F.col("x"), kinds[names[0]])
+        part = stacked.groupBy("i").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("x").isNull()).alias("n_null"),
+            F.sum(number(F.concat("k", text)).cast(SUM)).cast("string").alias("digest"))
+        name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("i") + 1)
+        part = part.select(name.alias("column"), "n_rows", "n_null", "digest")
+        found = part if found is None else found.unionByName(part)
+    zero = {"n_rows": F.lit(0).cast("long"), "n_null": F.lit(0).cast("long"), "digest": F.lit("0")}
+    return out.join(found, "column", "left").select("column", *[F.coalesce(F.col(c), z).alias(c) for c, z in zero.items()])
 
 
 def compare(left: DataFrame, right: DataFrame, key: Sequence[str] = ()) -> DataFrame:
