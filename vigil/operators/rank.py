@@ -1,6 +1,6 @@
 """Global order without a single partition.
 
-``prefix_sums`` is the primitive behind ranks, exact ROC AUC and average ranks:
+``prefix_sums`` is the primitive behind ranks and exact ROC AUC:
 
 1. ``repartitionByRange`` on the order columns (a unique tie-break is the
    caller's job), ``sortWithinPartitions``;
@@ -145,17 +145,6 @@ def before_key(cols: Sequence[str], key: tuple | None) -> Column:
     return cond
 
 
-def average_rank(df: DataFrame, col: str, name: str = "avg_rank",
-                 num_partitions: int | None = None) -> DataFrame:
-    """Average (ties-averaged) 1-based rank of ``col`` as a table ``(col, name, n)``.
-
-    Built over distinct values, so a value held by a third of the rows is one row here.
-    """
-    vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-    pre = prefix_sums(vc, [col], {"_cum": "_cnt"}, num_partitions)
-    return pre.select(col, (F.col("_cum") + (F.col("_cnt") + 1) / 2.0).alias(name), "_cnt")
-
-
 def _run_starts(df: DataFrame, col: str, name: str) -> DataFrame:
     """Add the position, in its sorted partition, of the first row of each row's value. Holds one batch."""
     at = df.columns.index(col)
