@@ -4,7 +4,9 @@ fitted as a data-parallel Spark job.
 Each epoch is ONE job over the fit table: every partition starts from the
 current weights (shipped in the task closure, size bounded by the model),
 runs local mini-batch SGD over its own rows (parallelized SGD with model
-averaging, Zinkevich et al. 2010) and emits ``(n_rows, weights)``; the
+averaging, Zinkevich et al. 2010) and emits ``(n_rows, weights)``. Rows are taken
+as they come, in blocks of ``BLOCK`` that are shuffled one by one, so a task holds
+one block whatever its partition's size, and every row is used once an epoch. The
 row-weighted average is reduced with a positional ``groupBy`` (bounded by the
 parameter count, never by the data). Validation loss of the incoming weights
 is computed in the same pass. The driver keeps early stopping with patience,
@@ -27,6 +29,8 @@ from pyspark.sql import types as T
 HIDDEN = (128, 64, 32)
 LATENT = 16
 DIRECT_REDUCE_VALUES = 4_000_000
+BLOCK = 1 << 15         # rows that a task holds and shuffles at once
+SCORED = 1 << 12        # rows of a forward pass without gradients
 
 
 def layer_sizes(d: int, hidden: Sequence[int], latent: int) -> list[int]:
@@ -61,8 +65,29 @@ def forward(x: np.ndarray, layers):
 
 
 def reconstruction_error(x: np.ndarray, layers) -> np.ndarray:
-    out = forward(x, layers)[-1]
-    return ((x - out) ** 2).mean(axis=1)
+    out = np.empty(len(x))
+    for s in range(0, len(x), SCORED):
+        part = x[s:s + SCORED]
+        out[s:s + SCORED] = ((part - forward(part, layers)[-1]) ** 2).mean(axis=1)
+    return out
+
+
+def blocks(batches, columns: Sequence[str], size: int):
+    """The columns of all rows as matrices of ``size`` rows, the last one of what is left."""
+    block, n = None, 0
+    for pdf in batches:
+        x = pdf[list(columns)].to_numpy(dtype="float64")
+        while len(x):
+            if block is None:
+                block, n = np.empty((size, x.shape[1])), 0  # pages are touched as rows come
+            take = min(size - n, len(x))
+            block[n:n + take] = x[:take]
+            x, n = x[take:], n + take
+            if n == size:
+                yield block
+                block = None
+    if block is not None:
+        yield block[:n]
 
 
 def sgd_pass(x: np.ndarray, layers, lr: float, batch: int, rng) -> None:
@@ -134,17 +159,18 @@ def fit_mlp(df: DataFrame, features: Sequence[str], val_col: str | None = None,
         def local(batches, cur=cur, step=step, epoch=epoch):
             layers = unpack(cur.copy(), sizes)
             val_layers = unpack(cur, sizes)
-            frames = list(batches)
-            pdf = pd.concat(frames) if frames else pd.DataFrame(columns=["_val", *feats])
-            x_all = pdf[feats].to_numpy(dtype="float64")
-            is_val = pdf["_val"].to_numpy() == 1
-            xv, xt = x_all[is_val], x_all[~is_val]
-            vloss = float(reconstruction_error(xv, val_layers).sum()) if len(xv) else 0.0
-            rng = np.random.default_rng(seed * 1000 + epoch + len(xt))
-            if len(xt):
-                sgd_pass(xt, layers, step, batch, rng)
+            n = val_n = 0
+            vloss = 0.0
+            for x in blocks(batches, ["_val", *feats], BLOCK):
+                is_val = x[:, 0] == 1
+                xv = x[is_val, 1:]
+                val_n += len(xv)
+                vloss += float(reconstruction_error(xv, val_layers).sum())
+                xt = x[~is_val, 1:]
+                n += len(xt)
+                sgd_pass(xt, layers, step, batch, np.random.default_rng(seed * 1000 + epoch + n))
             flat = np.concatenate([p.ravel() for W, b in layers for p in (W, b)])
-            yield pd.DataFrame({"n": [float(len(xt))], "val_n": [float(len(xv))], "val_loss": [vloss],
+            yield pd.DataFrame({"n": [float(n)], "val_n": [float(val_n)], "val_loss": [vloss],
                                 "w": [flat.tolist()]})
 
         parts = src.mapInPandas(local, out_schema)
