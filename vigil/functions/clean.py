@@ -36,20 +36,20 @@ def missing_v_columns(df: DataFrame) -> list[str]:
     return [v for v in V_COLUMNS if v not in df.columns]
 
 
-def _caps(df: DataFrame, cols: list[str]) -> dict[str, float]:
+def _caps(df: DataFrame, cols: list[str], held: bool) -> dict[str, float]:
     q = exact_quantiles(df.select(*[F.abs(nan_to_null(F.col(c).cast("double"))).alias(c) for c in cols]),
-                        cols, [CAP_QUANTILE])
+                        cols, [CAP_QUANTILE], held=held)
     return {c: q.get((), {}).get(c, [None])[0] for c in cols}
 
 
-def clean(df: DataFrame, params: dict | None = None) -> DataFrame:
-    """Clean a raw card or shop table."""
+def clean(df: DataFrame, params: dict | None = None, held: bool = False) -> DataFrame:
+    """Clean a raw card or shop table (B1-B10); ``held``: the caller holds it in memory or on disk."""
     df = normalise_names(df)
     if "class" in df.columns:
         return _clean_card(df.withColumnRenamed("class", "is_fraudulent"), params)
     if "v1" in df.columns and "is_fraudulent" in df.columns:
         return _clean_card(df, params)
-    return _clean_shop(df)
+    return _clean_shop(df, held)
 
 
 def card_date(time_col, max_time) -> "F.Column":
@@ -100,12 +100,12 @@ def _clean_card(df: DataFrame, params: dict | None = None) -> DataFrame:
     return df
 
 
-def _clean_shop(df: DataFrame) -> DataFrame:
+def _clean_shop(df: DataFrame, held: bool) -> DataFrame:
     out = {}
     if "transaction_date" in df.columns:
         out["transaction_date"] = F.col("transaction_date").cast("timestamp_ntz")
     capped = [c for c in ("transaction_amount", "quantity") if c in df.columns]
-    caps = _caps(df, capped) if capped else {}
+    caps = _caps(df, capped, held) if capped else {}
     for c in capped:
         a = F.abs(nan_to_null(F.col(c).cast("double")))
         out[c] = clip_upper(a, caps[c]) if caps[c] is not None else a

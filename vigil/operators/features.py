@@ -126,10 +126,10 @@ def _fit_encodings(train: DataFrame, card: bool, groups) -> tuple[DataFrame | No
     if not enc:
         return None, {}
     label = F.col(TARGET).cast("double") if TARGET in train.columns else F.lit(None).cast("double")
-    stacked = train.select(label.alias("_y"), F.explode(F.array(*[
-        F.struct(F.lit(name).alias("column"), expr.alias("category")) for name, expr in enc])).alias("_e"))
-    agg = (stacked.groupBy("_e.column", "_e.category")
-           .agg(F.count(F.lit(1)).alias("freq"), F.avg("_y").alias("fraud_rate")))
+    stacked = train.select(label.alias("_y"), F.posexplode(F.array(*[expr for _, expr in enc])).alias("_i", "category"))
+    name = F.element_at(F.array(*[F.lit(name) for name, _ in enc]), F.col("_i") + 1)
+    agg = (stacked.groupBy("_i", "category").agg(F.count(F.lit(1)).alias("freq"), F.avg("_y").alias("fraud_rate"))
+           .select(name.alias("column"), "category", "freq", "fraud_rate"))
     # nulls sort first, so a column's codes start behind its null category
     ranked = checkpoint(global_rank(agg, ["column", "category"], "_rank"))
     per = ranked.groupBy("column").agg(

@@ -115,10 +115,10 @@ def _with_offsets(rows: DataFrame, totals: DataFrame, names: Sequence[str]) -> t
 
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, drop: Sequence[str] = ()) -> DataFrame:
     """0-based position of each row in the global order (``order`` must be unique). All in the JVM, so
-    columns keep their types and nulls."""
-    ranged = _ranged(df, order, num_partitions).withColumn("_id", F.monotonically_increasing_id())
+    columns keep their types and nulls. Columns ``drop`` are only needed for the order and not written."""
+    ranged = _ranged(df, order, num_partitions).drop(*drop).withColumn("_id", F.monotonically_increasing_id())
     at = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     done = checkpoint(ranged.withColumns({PID: F.shiftright("_id", ROW_BITS).cast("int"), "_at": at}).drop("_id"))
     placed, _ = _with_offsets(done, done.groupBy(PID).agg(F.count(F.lit(1)).alias("_n")), ["_n"])

@@ -22,6 +22,7 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,15 +96,15 @@ def _joined(rows: DataFrame, intervals: DataFrame, n: int) -> DataFrame:
     return both.where(F.col("x").isNotNull() & (F.col("lo").isNull() | (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))))
 
 
-def values_at(rows: DataFrame, state: DataFrame | Intervals, integers: bool = False) -> DataFrame:
+def values_at(rows: DataFrame, state: DataFrame | Intervals, integers: bool = False, held_rows: bool = False) -> DataFrame:
     """Values at 0-based positions in the order of ``x`` within each (g, c).
 
     ``rows``: g, c, x; null x counts nowhere. ``state``: of each (g, c) the count
     ``total``, the bounds lo and hi of x, and ``pos``, an array of positions; groups of
-    at most ``FEW`` rows may have null bounds. Returns g, c, total, pos, value, below
+    at most ``FEW`` rows may have null bounds. ``held_rows``: the rows are held already. Returns g, c, total, pos, value, below
     (the number of rows with smaller values) and ties (with that value)."""
     held = state if isinstance(state, Intervals) else _held(state.withColumns({"n": F.col("total"), "before": F.lit(0).cast("long")}))
-    if held.n_open:
+    if held.n_open and not held_rows:
         rows = checkpoint(rows)
     while held.n_open:
         state = held.table
@@ -141,8 +142,11 @@ def _places(total: int, probs: Sequence[float]) -> list[int]:
     return sorted({int(f(p * (total - 1))) for p in probs for f in (math.floor, math.ceil)})
 
 
-def _hits(df: DataFrame, cols: list[str], probs: list[float], by: list[str], extra: dict) -> tuple[DataFrame, DataFrame | list]:
-    """Order statistics around the quantiles, and of each group the rows of the first pass: g, s, and the aggregates ``extra``."""
+def _hits(df: DataFrame, cols: list[str], probs: list[float], by: list[str], extra: dict, hold: bool = False, held: bool = False) -> tuple[DataFrame, DataFrame | list, DataFrame | None]:
+    """Order statistics around the quantiles, and of each group the rows of the first pass: g, s, and the aggregates ``extra``.
+
+    With ``hold`` the rounds read the columns from memory or disk; the third result is what the caller then lets go.
+    With ``held`` the caller holds ``df`` that way already."""
     spark = df.sparkSession
     narrow = df.withColumns({"_g": _group(by), **{f"_x{i}": F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for i, c in enumerate(cols)}})
     # one pass for counts, bounds and what else is asked for
@@ -157,8 +161,11 @@ def _hits(df: DataFrame, cols: list[str], probs: list[float], by: list[str], ext
         done = checkpoint(first)
         places = F.array_distinct(F.array(*[f(_place(p)).cast("long") for p in probs for f in (F.floor, F.ceil)]))
         state = done.select("g", F.explode("s").alias("s")).select("g", "s.*").where("total > 0").withColumn("pos", places)
-    long = narrow.select(F.col("_g").alias("g"), F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"_x{i}").alias("x")) for i in range(len(cols))])).alias("s"))
-    return values_at(long.select("g", "s.c", "s.x"), state), done
+    flat = narrow.select("_g", *[f"_x{i}" for i in range(len(cols))])
+    if hold:
+        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+    long = flat.select(F.col("_g").alias("g"), F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"_x{i}").alias("x")) for i in range(len(cols))])).alias("s"))
+    return values_at(long.select("g", "s.c", "s.x"), state, held_rows=hold or held), done, flat if hold else None
 
 
 def _place(p: float) -> Column:
@@ -171,7 +178,7 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
 
     Nulls and NaN are ignored; a column without values in a group is null there."""
     cols, by, extra, probs = list(cols), list(by), dict(extra or {}), [float(p) for p in probs]
-    hits, first = _hits(df, cols, probs, by, extra)
+    hits, first, _ = _hits(df, cols, probs, by, extra)
     at = hits.groupBy("g", "c").agg(F.first("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("pos", "value"))).alias("at"))
 
     def quantile(p: float) -> Column:
@@ -187,13 +194,17 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
     return both.select(*[F.col("g")[b].alias(b) for b in by], *[F.col(f"q{i}").alias(c) for i, c in enumerate(cols)], *[F.col(f"_e_{k}").cast("double").alias(k) for k in extra])
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), extra: dict | None = None) -> dict:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), extra: dict | None = None, held: bool = False) -> dict:
     """``quantile_table`` as ``{group: {col: quantiles}}`` (group ``()`` without ``by``), for parameters that a
-    driver keeps; a column without values has ``None``. ``extra`` (name -> aggregate) is added per group as ``"extra"``."""
+    driver keeps; a column without values has ``None``. ``extra`` (name -> aggregate) is added per group as ``"extra"``.
+
+    ``held``: the caller holds ``df`` in memory or on disk, so no copy of its columns is."""
     cols, probs, by, extra = list(cols), [float(p) for p in probs], list(by), dict(extra or {})
-    hits, first = _hits(df, cols, probs, by, extra)
+    hits, first, copy = _hits(df, cols, probs, by, extra, hold=not held, held=held)
     first = first if isinstance(first, list) else first.collect()
     at = {(tuple(r.g), r.c, r.pos): r.value for r in hits.collect()} if first else {}
+    if copy is not None:
+        copy.unpersist()
 
     def quantile(g: tuple, c: int, total: int, p: float) -> float | None:
         if not total:

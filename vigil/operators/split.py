@@ -45,6 +45,19 @@ def split_column(df: DataFrame, ratios: Sequence[float], labels: Sequence[str],
     return df.withColumn(name, expr)
 
 
+def split_ranked(df: DataFrame, ratios: Sequence[float], labels: Sequence[str],
+                 time: str = "transaction_date", rank: str = "row_id", name: str = "split") -> DataFrame:
+    """``split_column`` in the order (``time``, ``rank``) of rows whose ``rank`` numbers them from 0 in an order of
+    ``time``, nulls first: the cut keys follow from two counts. As there, rows without a time precede no cut."""
+    n, untimed = df.agg(F.count(F.lit(1)), F.count_if(F.col(time).isNull())).first()
+    expr = None
+    for cut, label in zip(cut_sizes(n, ratios), labels):
+        at = untimed + cut
+        cond = F.col(time).isNotNull() & (F.col(rank) < at) if at < n else F.lit(True)
+        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+    return df.withColumn(name, expr.otherwise(F.lit(labels[-1])) if expr is not None else F.lit(labels[-1]))
+
+
 def split_3way(df: DataFrame, train: float = 0.8, val: float = 0.1, order=TIME_ORDER) -> DataFrame:
     """Train / val / test by time."""
     return split_column(df, [train, val], ["train", "val", "test"], order)

@@ -3,13 +3,14 @@ row ids, time splits, fitted feature models and feature tables."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.clean import clean
 from vigil.operators.features import FeatureModel, FittedFeatures
 from vigil.operators.rank import global_rank
-from vigil.operators.split import split_2way, split_3way
+from vigil.operators.split import split_2way, split_3way, split_ranked
 from vigil.sources.fixtures import SHOP_KEY, card, shop
 
 SHOP_RANK_KEY = ["transaction_date", *SHOP_KEY]
@@ -20,11 +21,17 @@ def clean_card(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned shop table; ``row_id`` is the position in (date, line-item key) order."""
-    df = clean(shop(spark, sf_dir, keep_keys=True))
-    ranked = global_rank(df, SHOP_RANK_KEY, "row_id")
-    cols = [c for c in df.columns if c not in SHOP_KEY or c == "quantity"]
-    return ranked.select("row_id", *cols)
+    """Cleaned shop table; ``row_id`` is the position in (date, line-item key) order.
+
+    The joined table is held while its caps and ranges are found and it is ranked, so the joins run once."""
+    raw = shop(spark, sf_dir, keep_keys=True).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        df = clean(raw, held=True)
+        keys = [c for c in SHOP_KEY if c != "quantity"]
+        ranked = global_rank(df, SHOP_RANK_KEY, "row_id", drop=keys)
+    finally:
+        raw.unpersist()
+    return ranked.select("row_id", *[c for c in df.columns if c not in keys])
 
 
 def card_split(spark, sf_dir, flow: str = "80_20") -> DataFrame:
@@ -37,8 +44,8 @@ def card_split(spark, sf_dir, flow: str = "80_20") -> DataFrame:
 def shop_split(spark, sf_dir, flow: str = "80_20") -> DataFrame:
     df = clean_shop(spark, sf_dir)
     if flow == "80_10_10":
-        return split_3way(df)
-    return split_2way(df, 0.9 if flow == "90_10" else 0.8)
+        return split_ranked(df, [0.8, 0.1], ["train", "val", "test"])
+    return split_ranked(df, [0.9 if flow == "90_10" else 0.8], ["train", "test"])
 
 
 def fit_features(split_df: DataFrame, **kw) -> FittedFeatures:
