@@ -23,22 +23,19 @@ def long_form(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ())
     ])).alias("kv")).select(*keys, "kv.feature", "kv.value")
 
 
-def wide_stats(df: DataFrame, features: Sequence[str], stats: dict, by: Sequence[str] = ()) -> DataFrame:
-    """Per-feature statistics in ONE aggregate over the wide rows, then unpivoted.
+def wide_stats(df: DataFrame, features: Sequence[str], stats: dict, by: Sequence[str] = (), using: Sequence[str] = ()) -> DataFrame:
+    """Per-feature statistics in ONE aggregate over the features of a row, stacked: code and state are those of one
+    feature, however many there are, and map-side combine leaves a row per feature, group and task.
 
-    ``stats`` maps output name -> function(Column) -> aggregate Column. The long
-    form is built from the aggregated rows (one per group), never from the data.
+    ``stats`` maps output name -> function(Column) -> aggregate Column, which may read the columns ``using``, too.
+    Without ``by``, every feature has a row, also of an empty table.
     """
-    aggs = []
-    for i, f in enumerate(features):
-        x = F.col(f).cast("double")
-        aggs += [fn(x).alias(f"_{i}_{j}") for j, fn in enumerate(stats.values())]
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    names = list(stats)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), *[F.col(f"_{i}_{j}").alias(n) for j, n in enumerate(names)])
-        for i, f in enumerate(features)])).alias("r")
-    return wide.select(*by, rows).select(*by, "r.*")
+    x = F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("_i", "_x")
+    found = df.select(*dict.fromkeys([*by, *using]), x).groupBy(*by, "_i").agg(*[fn(F.col("_x")).alias(n) for n, fn in stats.items()])
+    if not by:
+        found = df.sparkSession.range(len(features), numPartitions=1).select(F.col("id").cast("int").alias("_i")).join(found, "_i", "left")
+    name = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_i") + 1)
+    return found.select(*by, name.alias("feature"), *stats)
 
 
 def temporal_order(df: DataFrame, ts: str = "transaction_date", split: str = "split") -> DataFrame:
@@ -69,7 +66,7 @@ def stability(df: DataFrame, features: Sequence[str], split: str = "split") -> D
     """Relative mean shift < 0.5 per feature (|test mean| < 1 when the train mean is 0)."""
     is_train, is_test = F.col(split) == "train", F.col(split) == "test"
     m = wide_stats(df, features, {"train_mean": lambda x: F.avg(F.when(is_train, x)),
-                                  "test_mean": lambda x: F.avg(F.when(is_test, x))})
+                                  "test_mean": lambda x: F.avg(F.when(is_test, x))}, using=[split])
     ok = F.when(F.col("train_mean") == 0, F.abs(F.col("test_mean")) < 1).otherwise(
         F.abs(F.col("test_mean") - F.col("train_mean")) / F.abs(F.col("train_mean")) < STABILITY_SHIFT)
     return m.withColumn("stable", F.coalesce(ok, F.lit(False)))

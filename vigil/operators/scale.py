@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.operators.quality import wide_stats
+
 
 @dataclass
 class FittedScaler:
@@ -26,10 +28,7 @@ class FittedScaler:
 
 
 def fit_scaler(df: DataFrame, features: Sequence[str]) -> FittedScaler:
-    aggs = []
-    for i, f in enumerate(features):
-        aggs += [F.avg(F.col(f).cast("double")).alias(f"m{i}"), F.stddev_pop(F.col(f).cast("double")).alias(f"s{i}")]
-    r = df.agg(*aggs).first()
-    mean = {f: r[f"m{i}"] or 0.0 for i, f in enumerate(features)}
-    std = {f: (r[f"s{i}"] if r[f"s{i}"] else 1.0) for i, f in enumerate(features)}
+    r = {x.feature: x for x in wide_stats(df, features, {"m": F.avg, "s": F.stddev_pop}).collect()} if features else {}
+    mean = {f: r[f].m or 0.0 for f in features}
+    std = {f: r[f].s or 1.0 for f in features}
     return FittedScaler(list(features), mean, std)
