@@ -9,11 +9,13 @@ last pages of each shard meet their neighbours across the border, a group per
 border, so results do not depend on the shards. Lines are shuffled once, no table
 is written.
 
-Two guards, since differencing alone deletes text that belongs to the article:
-lines inside an ``article`` or ``main`` element are marked as content by the page
-itself and stay, and where more than half of a page's text is shared, the pages
-may be copies: then only those lines are deleted that the other near page (of up
-to ``REACH`` on either side) with least in common shares, too. Elements that by their tag, role or class
+Every page is differenced. Two guards, since differencing alone deletes text that
+belongs to the article: lines inside an ``article`` or ``main`` element are marked as
+content by the page itself, so they go only if all near pages of the host (up to
+``REACH`` on either side, two at least) share them, and they are at most half of the
+page's text; and where more than half of another page's text is shared, the pages
+may be copies: then only those lines are deleted that the other near page with least
+in common shares, too. Elements that by their tag, role or class
 are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 or comments are left out before.
 
@@ -154,6 +156,19 @@ def difference(lines: list[str], other: list[str], more: Iterable[list[str]] = (
     return [line for i, line in enumerate(lines) if i not in gone]
 
 
+def marked_difference(lines: list[str], others: list[list[str]]) -> list[str]:
+    """``lines``, which their page marks as content, without those shared with all of the ``others`` (two at least);
+    all of them, if those are more than half of the text."""
+    gone = set(shared(lines, others[0])) if len(others) > 1 else set()
+    for other in others[1:]:
+        if gone:
+            gone &= set(shared(lines, other))
+    length = lambda places: sum(len(lines[i]) for i in places)
+    if 2 * length(gone) > length(range(len(lines))):
+        return lines
+    return [line for i, line in enumerate(lines) if i not in gone]
+
+
 def _near(a: str, b: str) -> int:
     """Length of the common prefix of two paths."""
     n = min(len(a), len(b))
@@ -163,9 +178,11 @@ def _near(a: str, b: str) -> int:
 def _text(row: dict, near: list[dict | None]) -> str:
     """The text of a page, ``near`` being the pages before and after it, the nearest first."""
     near = [x for x in near if x and x["host"] == row["host"]]
-    if row["marked"] or not near:
+    if not near:
         return "\n".join(row["lines"])
     first = max(near[:2], key=lambda x: _near(x["path"], row["path"]))
+    if row["marked"]:
+        return "\n".join(marked_difference(row["lines"], [first["lines"], *(x["lines"] for x in near if x is not first)]))
     return "\n".join(difference(row["lines"], first["lines"], (x["lines"] for x in near if x is not first)))
 
 
