@@ -150,7 +150,8 @@ def copies(docs: DataFrame, **options) -> DataFrame:
     chance = F.pmod(F.xxhash64(F.lit(seed + 2), "r"), F.lit(1 << 30)) / (1 << 30)
     wanted = (mix(docs, **options).groupBy(F.col("doc_id").alias(DOC), F.col("r").alias(ROW))
               .agg(F.max(F.floor(ratio + chance)).cast("int").alias(TIMES)).where(f"{TIMES} > 0"))
-    return (docs.join(wanted, F.col("doc_id").eqNullSafe(F.col(DOC)) & (F.xxhash64(F.lit(seed), "doc_id", "text") == F.col(ROW)))
+    # a row per document: it grows with the corpus, so the join has one plan at every size
+    return (docs.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col(DOC)) & (F.xxhash64(F.lit(seed), "doc_id", "text") == F.col(ROW)))
             .withColumn(TIMES, F.explode(F.sequence(F.lit(1), F.col(TIMES)))).drop(DOC, ROW, TIMES))
 
 

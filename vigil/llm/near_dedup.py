@@ -257,9 +257,10 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
         more = written(verified(pairs), "verified")
         found = found.union(more)
         tested = tested.union(pairs).union(pairs.select("b", "a"))
-        # a node that was a hub comes after those that were not
-        done = pairs.select(F.col("a").alias("h")).distinct()
-        groups = groups.join(done, F.col("node") == F.col("h"), "left").select("band", "node", F.when(F.col("h").isNotNull(), -F.abs("score")).otherwise(F.col("score")).alias("score"))
+        if turn < HUB_ROUNDS:
+            # a node that was a hub comes after those that were not; components only grow, so closed groups stay closed
+            done = pairs.select(F.col("a").alias("h")).distinct()
+            groups = open_.join(done, F.col("node") == F.col("h"), "left").select("band", "node", F.when(F.col("h").isNotNull(), -F.abs("score")).otherwise(F.col("score")).alias("score"))
         if turn == HUB_ROUNDS or more.limit(1).count():
             labels = components(found)
     return labels
