@@ -48,6 +48,10 @@ def value_text(x: Column, kind: T.DataType) -> Column:
     return x.cast("string")
 
 
+def _key_text(kinds: dict[str, T.DataType], key: Sequence[str]) -> Column:
+    return F.concat(F.lit(""), *[F.concat(F.coalesce(value_text(F.col(f"`{k}`"), kinds[k]), F.lit("")), F.lit("|")) for k in key])
+
+
 def fingerprints(df: DataFrame, key: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: ``column``, ``n_rows``, ``n_null``, ``digest`` (decimal digits; an empty table's is 0).
 
@@ -55,7 +59,7 @@ def fingerprints(df: DataFrame, key: Sequence[str] = (), columns: Sequence[str]
     type are stacked and share one expression and one aggregate."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     columns = list(kinds) if columns is None else list(columns)
-    row = F.concat(F.lit(""), *[F.concat(F.coalesce(value_text(F.col(f"`{k}`"), kinds[k]), F.lit("")), F.lit("|")) for k in key])
+    row = _key_text(kinds, key)
     by_kind: dict = {}
     for c in columns:
         by_kind.setdefault(kinds[c].simpleString(), []).append(c)
@@ -74,8 +78,44 @@ def fingerprints(df: DataFrame, key: Sequence[str] = (), columns: Sequence[str]
     return out.join(found, "column", "left").select("column", *[F.coalesce(F.col(c), z).alias(c) for c, z in zero.items()])
 
 
+def _hashed(df: DataFrame, key: Sequence[str], as_is: set[str]) -> DataFrame:
+    """Per column: ``column``, ``n_rows``, ``n_null``, ``digest``, as ``fingerprints`` does but for tables that this engine alone
+    compares: the sums of two 64-bit hashes of key and value, 60 bits of each, in place of 60 bits of an MD5 of their text.
+
+    Columns ``as_is`` are hashed as they are, the others by their text. A sum holds 2**33 rows."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    by_kind: dict = {}
+    for c in kinds:
+        by_kind.setdefault((c in as_is, kinds[c].simpleString()), []).append(c)
+    rows = df.withColumns({f"__k{s}": F.xxhash64(F.lit(s), _key_text(kinds, key)) for s in (0, 1)})
+    out = df.sparkSession.createDataFrame([(c,) for c in kinds], "column string")
+    found = None
+    for (plain, _), names in by_kind.items():
+        stacked = rows.select("__k0", "__k1", F.posexplode(F.array(*[F.col(f"`{c}`") for c in names])).alias("i", "x"))
+        value = F.col("x") if plain else value_text(F.col("x"), kinds[names[0]])
+        stacked = stacked.select("i", F.col("x").isNull().alias("null"), *[
+            F.when(F.col("x").isNotNull(), F.xxhash64(f"__k{s}", value)).alias(f"h{s}") for s in (0, 1)])
+        low = F.lit((1 << 30) - 1).cast("long")
+        sums = [F.sum(half).cast("string") for h in ("h0", "h1") for half in (F.col(h).bitwiseAND(low), F.shiftrightunsigned(h, 34))]
+        part = stacked.groupBy("i").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("null").alias("n_null"), F.concat_ws(":", *sums).alias("digest"))
+        name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("i") + 1)
+        part = part.select(name.alias("column"), "n_rows", "n_null", "digest")
+        found = part if found is None else found.unionByName(part)
+    zero = {"n_rows": F.lit(0).cast("long"), "n_null": F.lit(0).cast("long"), "digest": F.lit("")}
+    return out.join(found, "column", "left").select("column", *[F.coalesce(F.col(c), z).alias(c) for c, z in zero.items()])
+
+
+#: types whose hash tells values apart as their texts do (of arrays it skips nulls)
+HASHED = (T.DoubleType, T.FloatType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.StringType, T.DateType, T.TimestampType,
+          T.TimestampNTZType, T.DecimalType)
+
+
 def compare(left: DataFrame, right: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """Per column of either table: ``column``, ``n_rows`` (of the left one; null where it lacks the column) and ``same``."""
-    b = fingerprints(right, key).select("column", *[F.col(c).alias(f"r_{c}") for c in ("n_rows", "n_null", "digest")])
+    """Per column of either table: ``column``, ``n_rows`` (of the left one; null where it lacks the column) and ``same``.
+
+    Columns of one type in both tables are compared by hashes of their values, others by hashes of their texts."""
+    kinds = {f.name: f.dataType for f in left.schema.fields}
+    as_is = {f.name for f in right.schema.fields if kinds.get(f.name) == f.dataType and isinstance(f.dataType, HASHED)}
+    b = _hashed(right, key, as_is).select("column", *[F.col(c).alias(f"r_{c}") for c in ("n_rows", "n_null", "digest")])
     same = [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in ("n_rows", "n_null", "digest")]
-    return fingerprints(left, key).join(b, "column", "full").select("column", "n_rows", (same[0] & same[1] & same[2]).alias("same"))
+    return _hashed(left, key, as_is).join(b, "column", "full").select("column", "n_rows", (same[0] & same[1] & same[2]).alias("same"))
