@@ -37,7 +37,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.text import scratch
+from vigil.llm.text import give_back, scratch
+from vigil.session import settings
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
@@ -47,9 +48,10 @@ SAMPLE, SAMPLE_CHARS = 512, 8192
 DICTIONARY_BYTES = 65536
 LEVEL = 3
 CHUNK_DOCS, CHUNK_BYTES = 2048, 2 << 20
-BLOCK_CHARS = 4 << 20    # texts encoded at once; a longer text is a block of its own
+BLOCK_CHARS = 2 << 20    # texts encoded at once; a longer text is a block of its own
 BLOCK_PIECES = 1 << 18   # pieces whose ids are gathered at once
-LEARN = 20_000           # new pieces in one call of the library
+LEARN = 5_000            # new pieces in one call of the library
+BATCH_BYTES = 8 << 20    # of the rows that a task hands to Python at once, and holds twice
 CHUNKS = "shard int, chunk int, dict_hash string, doc_ids array<long>, n_tokens array<long>, offsets array<long>, frames binary"
 
 
@@ -74,13 +76,14 @@ class Encoder:
 
     The byte-level pre-tokenizer cuts a text by a fixed pattern, and merges never cross a cut, so the ids
     of a text are those of its pieces. A space after a non-space and before one is always such a cut, so a
-    text without white space in a row is cut at its spaces, in Arrow and for many texts at once. Each piece
-    is looked up among the known ones, new ones go to the library, and their ids are gathered. The key of a
+    text without white space in a row is cut at its spaces, in Arrow and for many texts at once. The known
+    pieces are looked up among the different ones of the texts (so the hash table is as small as those),
+    new ones go to the library, and their ids are gathered. The key of a
     piece is what follows its space; a text's first piece has the key "\0" + piece, and "\0\0" is the
     end id. Texts with white space in a row or "\0" go to the library whole. Of more than ``limit`` pieces
     only those are kept that came again since the last such cut."""
 
-    def __init__(self, name: str, limit: int = 800_000):
+    def __init__(self, name: str, limit: int = 600_000):
         self.tokenizer, self.limit = tokenizer(name), limit
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # bytes of each id
@@ -128,18 +131,26 @@ class Encoder:
         cuts = (np.concatenate(([0], np.cumsum(np.add.reduceat(sizes, pieces.offsets.to_numpy()[:-1])))) * 4).tolist()
         return [bytes(raw[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
 
-    def _places(self, keys: pa.Array, may_cut: bool = True) -> np.ndarray:
+    def _places(self, keys: pa.Array) -> np.ndarray:
         """Places of the keys among the known ones, to which new ones are added."""
-        at = pc.index_in(keys, self.keys)
-        found = at.fill_null(-1).to_numpy().astype(np.int64)
-        self.used[found[found >= 0]] = True
-        if at.null_count:
-            new = keys.filter(at.is_null()).dictionary_encode()
-            if may_cut and len(self.keys) + len(new.dictionary) > self.limit:
+        keys = keys.dictionary_encode()
+        return self._found(keys.dictionary)[keys.indices.to_numpy()]
+
+    def _found(self, keys: pa.Array, may_cut: bool = True) -> np.ndarray:
+        """Places of different keys."""
+        at = pc.index_in(self.keys, keys)
+        known = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+        places = np.full(len(keys), -1)
+        places[at.drop_null().to_numpy()] = known
+        new = places < 0
+        if new.any():
+            if may_cut and len(self.keys) + np.count_nonzero(new) > self.limit:
+                self.used[known] = True
                 self._cut()
-                return self._places(keys, False)
-            found[found < 0] = self._learn(new.dictionary)[new.indices.to_numpy()]
-        return found
+                return self._found(keys, False)
+            places[new] = self._learn(keys.filter(pa.array(new)))
+        self.used[known] = True
+        return places
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -247,11 +258,13 @@ def write(docs: DataFrame, path: str, name: str = TOKENIZER) -> None:
                 if len(ids) >= CHUNK_DOCS or size >= CHUNK_BYTES:
                     yield flush()
                     chunk, size, ids, counts, frames = chunk + 1, 0, [], [], []
+            give_back()
         if ids:
             yield flush()
 
-    (docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(pack, CHUNKS).write.parquet(f"{path}/chunks"))
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        (docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+         .mapInArrow(pack, CHUNKS).write.parquet(f"{path}/chunks"))
 
 
 def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None, with_ids: bool = True) -> DataFrame:
