@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,15 +23,21 @@ def long_form(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ())
     ])).alias("kv")).select(*keys, "kv.feature", "kv.value")
 
 
-def wide_stats(df: DataFrame, features: Sequence[str], stats: dict, by: Sequence[str] = (), using: Sequence[str] = ()) -> DataFrame:
+def wide_stats(df: DataFrame, features: Sequence[str], stats: dict, by: Sequence[str] = (), using: Sequence[str] = (),
+               states: Callable | None = None) -> DataFrame:
     """Per-feature statistics in ONE aggregate over the features of a row, stacked: code and state are those of one
     feature, however many there are, and map-side combine leaves a row per feature, group and task.
 
     ``stats`` maps output name -> function(Column) -> aggregate Column, which may read the columns ``using``, too.
+    ``states`` (as ``checksum_states``) sums the values up by blocks before; the stats then aggregate its states.
     Without ``by``, every feature has a row, also of an empty table.
     """
-    x = F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("_i", "_x")
-    found = df.select(*dict.fromkeys([*by, *using]), x).groupBy(*by, "_i").agg(*[fn(F.col("_x")).alias(n) for n, fn in stats.items()])
+    if states is None:
+        x = F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("_i", "_x")
+        stacked = df.select(*dict.fromkeys([*by, *using]), x)
+    else:
+        stacked = states(df, features, by, using)
+    found = stacked.groupBy(*by, "_i").agg(*[fn(F.col("_x")).alias(n) for n, fn in stats.items()])
     if not by:
         found = df.sparkSession.range(len(features), numPartitions=1).select(F.col("id").cast("int").alias("_i")).join(found, "_i", "left")
     name = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_i") + 1)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.operators import split as S
+from vigil.operators.checksums import CHECKSUMS, checksum_states
+from vigil.operators.quality import wide_stats
 from vigil.plans import prepare as P
 from vigil.plans.common import epoch_us, rounded
 
@@ -182,16 +184,9 @@ def q_location_frequency(spark, sf):
 
 
 def _checksums(ft, keys=("row_id", "split", "is_fraudulent")):
-    """Per (feature, split): exact total, non-zero count, min, max - one wide aggregate."""
-    from vigil.operators.quality import wide_stats
+    """Per (feature, split): exact total (decimal sum of values rounded to 6 places), non-zero count, min, max."""
     feats = [c for c in ft.columns if c not in keys]
-    out = wide_stats(ft, feats, {
-        # exact, order-independent: decimal sum of values rounded to 6 places
-        "total": lambda x: F.sum(F.round(x, 6).cast("decimal(38,6)")).cast("double"),
-        "n_nonzero": lambda x: F.sum((x != 0).cast("long")),
-        "min_value": lambda x: F.round(F.min(x), 6),
-        "max_value": lambda x: F.round(F.max(x), 6)}, by=["split"])
-    return out
+    return wide_stats(ft, feats, CHECKSUMS, by=["split"], states=checksum_states)
 
 
 def q_feature_table_card(spark, sf):
