@@ -59,7 +59,8 @@ class FeatureModel:
     business_hours: tuple = tmp_f.BUSINESS_HOURS
     business_weekdays_only: bool = False
 
-    def fit(self, train: DataFrame) -> "FittedFeatures":
+    def fit(self, train: DataFrame, held: bool = False) -> "FittedFeatures":
+        """``held``: the rows are in memory or on disk, so no copy of the columns that are read several times is held."""
         card = is_card(train)
         amt = self.amount_col or ("amount" if card else "transaction_amount")
         _check_groups(self, card, train.columns)
@@ -69,7 +70,7 @@ class FeatureModel:
         if "transaction_date" in train.columns:
             h = F.hour("transaction_date")
             extra = {"hour_mean": F.avg(h), "hour_std": F.stddev_samp(h), "day_weekend_ratio": F.avg(flag_weekend())}
-        q = exact_quantiles(train, qcols, PROBS, extra=extra)[()]
+        q = exact_quantiles(train, qcols, PROBS, extra=extra, held=held)[()]
         params.update(q.get("extra", {}))
         for c, prefix in ((amt, "amount"), ("quantity", "quantity")):
             if c not in q:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.session import checkpoint
+from vigil.session import checkpoint, stored
 
 PID = "_pid"
 #: helper columns of tie ranks: rows before the first and after the last row of the same value within a partition
@@ -35,7 +35,7 @@ UNKNOWN_BYTES = 1 << 60     # Catalyst's size of a leaf that it knows nothing ab
 ROW_BITS = 33               # of monotonically_increasing_id: the row in its partition
 
 
-def _leaf_bytes(df: DataFrame) -> int | None:
+def leaf_bytes(df: DataFrame) -> int | None:
     """Bytes of the scanned inputs (file sizes of the plan's leaves), None if unknown. Catalyst's
     own estimate for a join is the product of its sides, useless for sizing."""
     it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
@@ -52,7 +52,7 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
         return int(n)
     spark = df.sparkSession
     low = spark.sparkContext.defaultParallelism
-    size = _leaf_bytes(df)
+    size = leaf_bytes(df)
     if size is None:
         return max(low, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return max(low, math.ceil(size / TARGET_PARTITION_BYTES))
@@ -115,16 +115,37 @@ def _with_offsets(rows: DataFrame, totals: DataFrame, names: Sequence[str]) -> t
 
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "rank",
-                num_partitions: int | None = None, drop: Sequence[str] = ()) -> DataFrame:
+                num_partitions: int | None = None, drop: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """0-based position of each row in the global order (``order`` must be unique). All in the JVM, so
-    columns keep their types and nulls. Columns ``drop`` are only needed for the order and not written."""
-    ranged = _ranged(df, order, num_partitions).drop(*drop).withColumn("_id", F.monotonically_increasing_id())
+    columns keep their types and nulls. Columns ``drop`` are only needed for the order and not written.
+
+    With ``parts`` the rows of ``df``, which is read for each, are sorted in so many parts by ranges of the first order
+    column: a shuffle holds one part at a time, and the result is a compressed table instead of a checkpoint."""
     at = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    done = checkpoint(ranged.withColumns({PID: F.shiftright("_id", ROW_BITS).cast("int"), "_at": at}).drop("_id"))
+
+    def ranked(rows: DataFrame, n: int | None, start: int) -> DataFrame:
+        ranged = _ranged(rows, order, n).drop(*drop).withColumn("_id", F.monotonically_increasing_id())
+        return ranged.withColumns({PID: F.shiftright("_id", ROW_BITS).cast("int") + start, "_at": at}).drop("_id")
+
+    if parts is None:
+        done = checkpoint(ranked(df, num_partitions, 0))
+    else:
+        first = _as_cols(order)[0]
+        n = math.ceil(_num_partitions(df, num_partitions) / parts)
+        done, _ = stored([lambda i=i, rows=rows: ranked(rows, n, i * n) for i, rows in enumerate(_ranges(df, first, parts))])
     placed, _ = _with_offsets(done, done.groupBy(PID).agg(F.count(F.lit(1)).alias("_n")), ["_n"])
     return placed.withColumn(name, F.col("_o__n") + F.col("_at")).drop(PID, "_at", "_o__n")
 
 
+def _ranges(df: DataFrame, x: Column, parts: int) -> list[DataFrame]:
+    """The rows of ``df`` in ``parts`` ranges of ``x`` of about one size, null first (fewer where few values are frequent)."""
+    cuts = df.agg(F.percentile_approx(x, [i / parts for i in range(1, parts)], 1000)).first()[0] if parts > 1 else None
+    cuts = [key_literal(v) for v in dict.fromkeys(cuts or [])]
+    if not cuts:
+        return [df]
+    return [df.where(x.isNull() | (x < cuts[0])), *[df.where((x >= lo) & (x < hi)) for lo, hi in zip(cuts, cuts[1:])], df.where(x >= cuts[-1])]
+
+
 def key_literal(v) -> Column:
     """Literal for a collected key value; timestamps stay zone-free (TIMESTAMP_NTZ)."""
     import datetime as _dt

@@ -3,34 +3,47 @@ row ids, time splits, fitted feature models and feature tables."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.clean import clean
 from vigil.operators.features import FeatureModel, FittedFeatures
-from vigil.operators.rank import global_rank
+from vigil.operators.rank import global_rank, leaf_bytes
 from vigil.operators.split import split_2way, split_3way, split_ranked
+from vigil.session import stored
 from vigil.sources.fixtures import SHOP_KEY, card, shop
 
 SHOP_RANK_KEY = ["transaction_date", *SHOP_KEY]
+SHOP_PARTS = 4           # more would read the line items more often
+PART_BYTES = 128 << 20   # of the tables' files; smaller tables are one part
+SORT_ROWS = 1 << 20      # of a task's sort, about 200 MB
 
 
 def clean_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(card(spark, sf_dir))
 
 
+def _parts(raw: DataFrame) -> int:
+    """In how many parts a table is joined and sorted: their shuffles follow each other on the disk."""
+    return max(1, min(SHOP_PARTS, math.ceil((leaf_bytes(raw) or 0) / PART_BYTES)))
+
+
 def clean_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned shop table; ``row_id`` is the position in (date, line-item key) order.
 
-    The joined table is held while its caps and ranges are found and it is ranked, so the joins run once."""
-    raw = shop(spark, sf_dir, keep_keys=True).persist(StorageLevel.MEMORY_AND_DISK)
+    The joined table is written while its caps and ranges are found and it is ranked, so the joins run once."""
+    raw = shop(spark, sf_dir, keep_keys=True)
+    k = _parts(raw)
+    held, remove = stored([lambda: raw] if k == 1 else [lambda i=i: shop(spark, sf_dir, keep_keys=True, part=(i, k)) for i in range(k)])
     try:
-        df = clean(raw, held=True)
+        df = clean(held, held=True)
         keys = [c for c in SHOP_KEY if c != "quantity"]
-        ranked = global_rank(df, SHOP_RANK_KEY, "row_id", drop=keys)
+        n = max(spark.sparkContext.defaultParallelism, math.ceil(held.count() / SORT_ROWS))
+        ranked = global_rank(df, SHOP_RANK_KEY, "row_id", n, drop=keys, parts=k)
     finally:
-        raw.unpersist()
+        remove()
     return ranked.select("row_id", *[c for c in df.columns if c not in keys])
 
 
@@ -48,8 +61,8 @@ def shop_split(spark, sf_dir, flow: str = "80_20") -> DataFrame:
     return split_ranked(df, [0.9 if flow == "90_10" else 0.8], ["train", "test"])
 
 
-def fit_features(split_df: DataFrame, **kw) -> FittedFeatures:
-    return FeatureModel(**kw).fit(split_df.where(F.col("split") == "train").drop("split"))
+def fit_features(split_df: DataFrame, held: bool = False, **kw) -> FittedFeatures:
+    return FeatureModel(**kw).fit(split_df.where(F.col("split") == "train").drop("split"), held=held)
 
 
 def feature_table(split_df: DataFrame, fitted: FittedFeatures | None = None,
@@ -64,4 +77,4 @@ def card_features(spark, sf_dir, flow: str = "80_20", **kw):
 
 
 def shop_features(spark, sf_dir, flow: str = "80_20", **kw):
-    return feature_table(shop_split(spark, sf_dir, flow), **kw)
+    return feature_table(shop_split(spark, sf_dir, flow), held=True, **kw)

@@ -162,7 +162,7 @@ def q_risk_bands(spark, sf):
 
 
 def _encodings(spark, sf):
-    return P.fit_features(P.shop_split(spark, sf)).encodings
+    return P.fit_features(P.shop_split(spark, sf), held=True).encodings
 
 
 def q_label_codes(spark, sf):

@@ -42,39 +42,36 @@ def card(spark: SparkSession, sf_dir: str, with_user: bool = False, events: Data
     return joined.select(*cols)
 
 
-def shop(spark: SparkSession, sf_dir: str, keep_keys: bool = True, with_customer: bool = False) -> DataFrame:
-    """Raw shop table; ``keep_keys`` keeps the line-item keys used as tie-break."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag")
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+def shop(spark: SparkSession, sf_dir: str, keep_keys: bool = True, with_customer: bool = False, part: tuple[int, int] | None = None) -> DataFrame:
+    """Raw shop table; ``keep_keys`` keeps the line-item keys used as tie-break. ``part`` (i, k) is the i-th of k parts by order.
+
+    Columns are derived before the joins, so that few and narrow ones are shuffled: line items by part while they have
+    no others, then with the part's type by order; customer-side joins share the o_custkey key."""
+    lines, orders = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
     first = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_date"))
+    if part:
+        mine = lambda key: F.pmod(F.xxhash64(key), F.lit(part[1])) == part[0]
+        lines, orders = lines.where(mine("l_orderkey")), orders.where(mine("o_orderkey"))
+    li = lines.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("transaction_amount"),
+        F.col("l_quantity").alias("quantity"),
+        ((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09)).cast("int").alias("is_fraudulent"))
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    # Customer-side joins share the o_custkey key; the line-item join then
-    # shuffles on the order key and the part lookup on the part key.
-    o = (orders.join(first, "o_custkey")
+    types = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    o = (orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").join(first, "o_custkey")
          .join(cust, F.col("c_custkey") == F.col("o_custkey"))
-         .join(nation, F.col("n_nationkey") == F.col("c_nationkey")))
-    j = li.join(o, F.col("o_orderkey") == F.col("l_orderkey")).join(
-        part, F.col("p_partkey") == F.col("l_partkey"))
-    cols = []
-    if keep_keys:
-        cols += ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+         .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+         .select("o_orderkey", F.col("o_custkey").alias("customer_id"),
+                 F.expr("timestampadd(HOUR, CAST(o_orderkey % 24 AS INT), o_orderdate)").alias("transaction_date"),
+                 (F.lit(13) + F.col("c_custkey") % 90).cast("int").alias("customer_age"),
+                 F.datediff(F.col("o_orderdate"), F.col("first_date")).alias("account_age_days"),
+                 F.col("n_name").alias("customer_location"), F.col("o_orderpriority").alias("payment_method"),
+                 F.col("c_mktsegment").alias("device_used")))
+    j = li.join(types, F.col("p_partkey") == F.col("l_partkey")).join(o, F.col("o_orderkey") == F.col("l_orderkey"))
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"] if keep_keys else []
     if with_customer:
-        cols.append(F.col("o_custkey").alias("customer_id"))
-    cols += [
-        F.expr("timestampadd(HOUR, CAST(o_orderkey % 24 AS INT), o_orderdate)").alias("transaction_date"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("transaction_amount"),
-        F.col("l_quantity").alias("quantity"),
-        (F.lit(13) + F.col("c_custkey") % 90).cast("int").alias("customer_age"),
-        F.datediff(F.col("o_orderdate"), F.col("first_date")).alias("account_age_days"),
-        F.col("n_name").alias("customer_location"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.col("p_type").alias("product_category"),
-        F.col("c_mktsegment").alias("device_used"),
-        ((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09)).cast("int").alias("is_fraudulent"),
-    ]
-    return j.select(*cols)
+        cols.append("customer_id")
+    return j.select(*cols, "transaction_date", "transaction_amount", "quantity", "customer_age", "account_age_days", "customer_location",
+                    "payment_method", F.col("p_type").alias("product_category"), "device_used", "is_fraudulent")
